@@ -31,11 +31,7 @@ def id_text(c: Column) -> Column:
 def to_zone(c: Column, zone: str) -> Column:
     """ISO 8601 text as the local wall-clock time of ``zone``.
 
-    '' and 'null' mean no time; text without an offset is UTC.
+    Text without an offset is in the session's zone, which is UTC. '', 'null' and
+    anything else that is no time give NULL.
     """
-    text = F.nullif(F.nullif(F.trim(c), F.lit("")), F.lit("null"))
-    with_time = F.when(F.length(text) == 10, F.concat(text, F.lit("T00:00:00"))).otherwise(text)
-    with_offset = F.when(F.rlike(with_time, F.lit(r"(Z|[+-]\d\d:?\d\d)$")), with_time).otherwise(
-        F.concat(with_time, F.lit("Z"))
-    )
-    return F.convert_timezone(None, F.lit(zone), F.try_to_timestamp(with_offset))
+    return F.convert_timezone(None, F.lit(zone), F.try_to_timestamp(c))

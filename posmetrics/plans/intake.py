@@ -38,7 +38,9 @@ def _parsed(pages: DataFrame, spec: Resource, column: str) -> DataFrame:
 def records(pages: DataFrame, resource: str, column: str = "value") -> DataFrame:
     """One row per record of every readable page."""
     parsed = _parsed(pages, RESOURCES[resource], column)
-    return parsed.select(F.inline("records"))
+    # the outer form: an inner explode would parse every page again to filter it first
+    exploded = parsed.select(F.explode_outer("records").alias("r"))
+    return exploded.filter(F.col("r").isNotNull()).select("r.*")
 
 
 def unreadable(pages: DataFrame, resource: str, column: str = "value") -> DataFrame:

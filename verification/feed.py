@@ -112,7 +112,7 @@ RECORDS = {
         """'receipt_number', concat('R-', k), 'receipt_type', if(k % 41 = 0, null, if(k % 20 = 0, 'refund', 'Sale')),
            'receipt_date', at, 'created_at', at, 'updated_at', at2, 'deleted_at', if(k % 97 = 0, at2, ''),
            'cancelled_at', if(k % 50 = 7, at, 'null'),
-           'total_money', o_totalprice, 'tip', if(k % 3 = 0, round(o_totalprice * 0.02, 2), null),
+           'total_money', o_totalprice, 'tip', if(k % 3 = 0, floor(o_totalprice * 2) / 100, null),
            'customer_id', if(o_custkey % 10 = 0, null, o_custkey), 'employee_id', concat('emp-', k % 25),
            'store_id', concat('st-', k % 5), 'pos_device_id', concat('pos-', k % 7),
            'line_items', transform(sequence(1, int(1 + k % 3)), i -> named_struct(
