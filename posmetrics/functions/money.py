@@ -1,7 +1,8 @@
 """Exact sums and one rounding rule for money, rates and percentages.
 
 Stored amounts are DOUBLE. Adding doubles gives an answer that depends on task
-order, so amounts are added as decimals and handed back as doubles.
+order, so amounts are added as whole ten-thousandths in a wide decimal, which is
+exact, cannot overflow, and costs about as much as adding longs.
 """
 
 from __future__ import annotations
@@ -10,7 +11,8 @@ from pyspark.sql import Column, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-AMOUNT = T.DecimalType(18, 4)
+TICKS_PER_UNIT = 10_000.0
+_TICKS = T.DecimalType(18, 0)
 
 
 def _col(value: Column | str) -> Column:
@@ -18,13 +20,18 @@ def _col(value: Column | str) -> Column:
 
 
 def exact_sum(value: Column | str) -> Column:
-    """SUM as a decimal; keep it this way while sums are still to be added up."""
-    return F.sum(_col(value).cast(AMOUNT))
+    """SUM in ticks; these sums may be added up again. ``amount`` turns them back."""
+    return F.sum(F.floor(_col(value) * TICKS_PER_UNIT + 0.5).cast(_TICKS))
+
+
+def amount(ticks: Column | str) -> Column:
+    """Ticks as a DOUBLE amount."""
+    return _col(ticks).cast("double") / TICKS_PER_UNIT
 
 
 def total(value: Column | str) -> Column:
     """SUM as DOUBLE; NULL when there are no values."""
-    return exact_sum(value).cast("double")
+    return amount(exact_sum(value))
 
 
 def mean(value: Column | str) -> Column:

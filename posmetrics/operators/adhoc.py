@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from posmetrics.functions.money import exact_sum, ratio, total
+from posmetrics.functions.money import ratio, total
 from posmetrics.functions.period import ALWAYS, DateWindow
 from posmetrics.operators.base import MetricGroup
 

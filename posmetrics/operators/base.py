@@ -7,7 +7,7 @@ from datetime import date
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from posmetrics.functions.money import exact_sum, ratio, rnd
+from posmetrics.functions.money import amount, exact_sum, ratio, rnd
 from posmetrics.functions.period import ALWAYS, DateWindow, of_store, valid_sales
 from posmetrics.sources.tables import Tables
 
@@ -53,7 +53,7 @@ def tx_count() -> Column:
 
 
 def margin_parts() -> list[Column]:
-    """Decimal sums, so that they can be added up again after a join."""
+    """Sums in ticks, so that they can be added up again after a join."""
     return [
         exact_sum("total_money").alias("_revenue"),
         exact_sum("cost_total").alias("_cost"),
@@ -65,13 +65,13 @@ def margin_regroup() -> list[Column]:
 
 
 def margin_columns() -> list[Column]:
-    """revenue, cost, gross_profit, margin_pct from the decimal sums."""
-    revenue = F.col("_revenue").cast("double")
-    cost = F.coalesce(F.col("_cost"), F.lit(0).cast("decimal(18,4)"))
-    profit = (F.col("_revenue") - cost).cast("double")
+    """revenue, cost, gross_profit, margin_pct from the sums in ticks."""
+    cost_ticks = F.coalesce("_cost", F.lit(0))
+    revenue, cost = amount("_revenue"), amount(cost_ticks)
+    profit = amount(F.col("_revenue") - cost_ticks)
     return [
         rnd(revenue, 2).alias("revenue"),
-        rnd(cost.cast("double"), 2).alias("cost"),
+        rnd(cost, 2).alias("cost"),
         rnd(profit, 2).alias("gross_profit"),
         rnd(ratio(profit, revenue) * 100.0, 1).alias("margin_pct"),
     ]

@@ -7,7 +7,7 @@ from datetime import date
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from posmetrics.functions.money import exact_sum, rnd, share_of_total
+from posmetrics.functions.money import amount, exact_sum, rnd, share_of_total
 from posmetrics.functions.ntile import with_ntiles
 from posmetrics.functions.period import ALWAYS
 from posmetrics.operators.base import MetricGroup
@@ -72,7 +72,7 @@ class Customers(MetricGroup):
                 "name",
                 F.datediff(today, F.to_date("_last")).cast("bigint").alias("recency_days"),
                 F.coalesce("_n", F.lit(0)).cast("bigint").alias("frequency"),
-                F.coalesce(F.col("_spent").cast("double"), F.lit(0.0)).alias("monetary"),
+                F.coalesce(amount("_spent"), F.lit(0.0)).alias("monetary"),
             )
         )
         scored = with_ntiles(
@@ -112,7 +112,7 @@ class Customers(MetricGroup):
         self, days=30, date_start=None, date_end=None, store_id=None, n=10
     ) -> DataFrame:
         """customer_id, name, visits, total_spent, avg_ticket of the n best spenders."""
-        spent = F.col("_spent").cast("double")
+        spent = amount("_spent")
         return (
             self._visits(self._window(days, date_start, date_end), store_id)
             .groupBy("customer_id")

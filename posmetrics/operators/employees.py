@@ -5,13 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from posmetrics.functions.money import exact_sum, ratio, rnd
+from posmetrics.functions.money import amount, exact_sum, ratio, rnd
 from posmetrics.operators.base import MetricGroup
 
 
 class Employees(MetricGroup):
     def _per_employee(self, window, store_id=None, *extra) -> DataFrame:
-        """Decimal sums per employee id, then the name: the join sees grouped rows."""
+        """Sums per employee id, then the name: the join sees grouped rows."""
         return (
             self._sales(window, store_id)
             .groupBy("employee_id", *extra)
@@ -27,7 +27,7 @@ class Employees(MetricGroup):
         self, days=30, date_start=None, date_end=None, store_id=None
     ) -> DataFrame:
         """employee, tx_count, revenue, avg_ticket, total_tips; one row per name."""
-        revenue = F.sum("_revenue").cast("double")
+        revenue = amount(F.sum("_revenue"))
         return (
             self._per_employee(self._window(days, date_start, date_end), store_id)
             .groupBy("employee")
@@ -35,7 +35,7 @@ class Employees(MetricGroup):
                 F.sum("_n").alias("tx_count"),
                 rnd(revenue, 2).alias("revenue"),
                 rnd(revenue / F.sum("_n"), 2).alias("avg_ticket"),
-                rnd(F.sum("_tips").cast("double"), 2).alias("total_tips"),
+                rnd(amount(F.sum("_tips")), 2).alias("total_tips"),
             )
             .orderBy(F.desc("revenue"), "employee")
         )
@@ -50,14 +50,14 @@ class Employees(MetricGroup):
             .groupBy("date", "employee")
             .agg(
                 F.sum("_n").alias("tx_count"),
-                rnd(F.sum("_revenue").cast("double"), 2).alias("revenue"),
+                rnd(amount(F.sum("_revenue")), 2).alias("revenue"),
             )
             .orderBy(F.desc("date"), "employee")
         )
 
     def tip_by_employee(self, days=30, date_start=None, date_end=None) -> DataFrame:
         """employee, total_tips, avg_tip, tip_rate_pct."""
-        tips, revenue = F.sum("_tips").cast("double"), F.sum("_revenue").cast("double")
+        tips, revenue = amount(F.sum("_tips")), amount(F.sum("_revenue"))
         return (
             self._per_employee(self._window(days, date_start, date_end))
             .groupBy("employee")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from posmetrics.functions.money import exact_sum, mean, ratio, rnd, total
+from posmetrics.functions.money import amount, exact_sum, mean, ratio, rnd, total
 from posmetrics.operators.base import MetricGroup, tx_count
 
 class Revenue(MetricGroup):
@@ -31,7 +31,7 @@ class Revenue(MetricGroup):
             .groupBy("store_id")
             .agg(exact_sum("total_money").alias("_revenue"), F.count(F.lit(1)).alias("_n"))
         )
-        revenue = F.sum("_revenue").cast("double")
+        revenue = amount(F.sum("_revenue"))
         return (
             per_id.join(self._names("stores", "store_id", "store_name"), "store_id")
             .groupBy("store_name")

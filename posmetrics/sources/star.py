@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from posmetrics.functions.period import ALWAYS, DateWindow
@@ -17,24 +17,126 @@ from posmetrics.sources.tables import Tables
 
 AS_OF = date(2001, 8, 1)  # the last order day
 
-# The order priorities of the star, used as payment types.
-PRIORITIES = ("1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW")
-
-
-def _hours(n: Column) -> Column:
-    return F.make_dt_interval(F.lit(0), n.cast("int"))
-
-
-def _days(n: Column) -> Column:
-    return F.make_dt_interval(n.cast("int"))
-
-
-def _text(c: str | Column) -> Column:
-    return (F.col(c) if isinstance(c, str) else c).cast("string")
+# The columns of the star, so that no file is opened just to infer them.
+SOURCES = {
+    "region": "r_regionkey INT, r_name STRING",
+    "nation": "n_nationkey INT, n_name STRING, n_regionkey INT",
+    "customer": "c_custkey BIGINT, c_name STRING, c_nationkey INT, c_acctbal DOUBLE, c_mktsegment STRING",
+    "part": "p_partkey BIGINT, p_name STRING, p_brand STRING, p_type STRING, p_size INT, p_retailprice DOUBLE",
+    "orders": "o_orderkey BIGINT, o_custkey BIGINT, o_orderstatus STRING, o_totalprice DOUBLE, "
+    "o_orderdate TIMESTAMP_NTZ, o_orderpriority STRING",
+    "lineitem": "l_orderkey BIGINT, l_partkey BIGINT, l_suppkey BIGINT, l_linenumber INT, "
+    "l_quantity DOUBLE, l_extendedprice DOUBLE, l_discount DOUBLE, l_tax DOUBLE, "
+    "l_returnflag STRING, l_linestatus STRING, l_shipdate TIMESTAMP_NTZ",
+}
+
+ISSUED = "o_orderdate + make_dt_interval(0, int(o_orderkey % 24))"
+CHANGED = f"{ISSUED} + make_dt_interval(int(o_orderkey % 5))"
+SIGNED_TOTAL = "if(o_orderkey % 20 = 0, -o_totalprice, o_totalprice)"
+PRICE = "900D + (l_partkey % 2000) / 10D"
+COST = f"if(l_partkey % 11 <> 0, ({PRICE}) * 0.6D, NULL)"
+FIRST_VISIT = "timestamp_ntz'1995-01-01' + make_dt_interval(int(c_custkey * 37 % 2400))"
+
+
+def _audit(key: str) -> list[str]:
+    created = f"timestamp_ntz'1999-01-01' + make_dt_interval(int({key} % 700))"
+    changed = f"{created} + make_dt_interval(int({key} % 11))"
+    return [
+        f"{created} AS created_at",
+        f"{changed} AS updated_at",
+        f"if({key} % 19 = 0, {changed}, NULL) AS deleted_at",
+    ]
 
 
-def _every(key: Column, step: int, at: int = 0) -> Column:
-    return key % step == at
+# table -> (source, columns); the four oddly shaped ones have methods below
+PROJECTIONS = {
+    "receipts": (
+        "orders",
+        [
+            "string(o_orderkey) AS id",
+            "string(o_orderkey) AS receipt_number",
+            "if(o_orderkey % 20 = 0, 'REFUND', 'SALE') AS receipt_type",
+            f"{ISSUED} AS created_at",
+            f"{CHANGED} AS updated_at",
+            f"if(o_orderkey % 97 = 0, {CHANGED}, NULL) AS deleted_at",
+            f"{ISSUED} AS receipt_date",
+            f"if(o_orderkey % 50 = 7, {ISSUED}, NULL) AS cancelled_at",
+            f"{SIGNED_TOTAL} AS total_money",
+            "if(o_orderkey % 4 = 0, o_totalprice * 0.05D, 0D) AS total_discount",
+            "if(o_orderkey % 3 = 0, o_totalprice * 0.02D, 0D) AS tip",
+            "if(o_custkey % 10 <> 0, string(o_custkey), NULL) AS customer_id",
+            "string(o_orderkey % 25) AS employee_id",
+            "string(o_orderkey % 5) AS store_id",
+            "CASE o_orderstatus WHEN 'F' THEN 'Dine in' WHEN 'O' THEN 'Takeaway' END AS dining_option",
+        ],
+    ),
+    "receipt_line_items": (
+        "lineitem",
+        [
+            "concat_ws('-', l_orderkey, l_linenumber) AS id",
+            "string(l_orderkey) AS receipt_id",
+            "string(l_partkey) AS item_id",
+            "if(l_partkey % 7 <> 0, string(l_partkey), NULL) AS variant_id",
+            "concat('Item ', l_partkey div 25) AS item_name",
+            "l_quantity AS quantity",
+            f"{PRICE} AS price",
+            "l_extendedprice AS gross_total_money",
+            "l_extendedprice * (1D - l_discount) AS total_money",
+            f"{COST} AS cost",
+            f"l_quantity * {COST} AS cost_total",
+            "l_extendedprice * l_discount AS total_discount",
+        ],
+    ),
+    # one tender per receipt; every tenth receipt is split 60 / 40 over two
+    "receipt_payments": (
+        "orders",
+        [
+            "string(o_orderkey) AS receipt_id",
+            f"""inline(if(o_orderkey % 10 = 3,
+                array(struct(1 AS position, o_orderpriority AS payment_type_id,
+                             {SIGNED_TOTAL} * 0.6D AS money_amount),
+                      struct(2 AS position, '1-URGENT' AS payment_type_id,
+                             {SIGNED_TOTAL} * 0.4D AS money_amount)),
+                array(struct(1 AS position, o_orderpriority AS payment_type_id,
+                             {SIGNED_TOTAL} AS money_amount))))""",
+        ],
+    ),
+    "items": (
+        "part",
+        [
+            "string(p_partkey) AS id",
+            "p_name AS name",
+            "if(p_partkey % 13 <> 0, p_type, NULL) AS category_id",
+            *_audit("p_partkey"),
+        ],
+    ),
+    "variants": (
+        "part",
+        [
+            "string(p_partkey) AS id",
+            "string(p_partkey) AS item_id",
+            "concat('SKU-', p_partkey) AS sku",
+            "p_retailprice * 0.6D AS cost",
+            *_audit("p_partkey"),
+        ],
+    ),
+    "customers": (
+        "customer",
+        [
+            "string(c_custkey) AS id",
+            "c_name AS name",
+            "concat('c', c_custkey, '@', if(c_mktsegment IN ('BUILDING', 'MACHINERY'), "
+            "'gmail.com', 'example.org')) AS email",
+            f"if(c_custkey % 17 <> 0, {FIRST_VISIT}, NULL) AS first_visit",
+            f"{FIRST_VISIT} + make_dt_interval(int(c_custkey % 400), int(c_custkey % 13)) AS last_visit",
+            "int(c_custkey % 9) AS total_visits",
+            "c_acctbal AS total_spent",
+            *_audit("c_custkey"),
+        ],
+    ),
+    "employees": ("nation", ["string(n_nationkey) AS id", "n_name AS name"]),
+    "stores": ("region", ["string(r_regionkey) AS id", "r_name AS name"]),
+}
 
 
 class StarTables(Tables):
@@ -43,13 +145,14 @@ class StarTables(Tables):
         self.path = path.rstrip("/")
 
     def source(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.path}/{name}.parquet")
+        return self.spark.read.schema(SOURCES[name]).parquet(f"{self.path}/{name}.parquet")
 
     def table(self, name: str) -> DataFrame:
+        if name in PROJECTIONS:
+            source, columns = PROJECTIONS[name]
+            return self.source(source).selectExpr(*columns)
         return getattr(self, f"_{name}")()
 
-    # facts
-
     def receipts(self, window: DateWindow = ALWAYS) -> DataFrame:
         orders = self.source("orders")
         day = F.col("o_orderdate")
@@ -57,178 +160,32 @@ class StarTables(Tables):
             orders = orders.filter(day >= window.lower - F.expr("INTERVAL '1' DAY"))
         if window.upper is not None:
             orders = orders.filter(day <= window.upper)
-        key = F.col("o_orderkey")
-        issued = day + _hours(key % 24)
-        changed = issued + _days(key % 5)
-        refund = _every(key, 20)
-        df = orders.select(
-            _text(key).alias("id"),
-            _text(key).alias("receipt_number"),
-            F.when(refund, "REFUND").otherwise("SALE").alias("receipt_type"),
-            issued.alias("created_at"),
-            changed.alias("updated_at"),
-            F.when(_every(key, 97), changed).alias("deleted_at"),
-            issued.alias("receipt_date"),
-            F.when(_every(key, 50, 7), issued).alias("cancelled_at"),
-            F.when(refund, -F.col("o_totalprice"))
-            .otherwise(F.col("o_totalprice"))
-            .alias("total_money"),
-            F.when(_every(key, 4), F.col("o_totalprice") * 0.05)
-            .otherwise(0.0)
-            .alias("total_discount"),
-            F.when(_every(key, 3), F.col("o_totalprice") * 0.02).otherwise(0.0).alias("tip"),
-            F.when(~_every(F.col("o_custkey"), 10), _text("o_custkey")).alias("customer_id"),
-            _text(key % 25).alias("employee_id"),
-            _text(key % 5).alias("store_id"),
-            F.when(F.col("o_orderstatus") == "F", "Dine in")
-            .when(F.col("o_orderstatus") == "O", "Takeaway")
-            .alias("dining_option"),
-        )
-        return window.restrict(df, "receipt_date")
-
-    def _receipts(self) -> DataFrame:
-        return self.receipts()
-
-    def _receipt_line_items(self) -> DataFrame:
-        part = F.col("l_partkey")
-        price = F.lit(900.0) + (part % 2000) / F.lit(10.0)
-        cost = F.when(~_every(part, 11), price * 0.6)
-        gross, off = F.col("l_extendedprice"), F.col("l_discount")
-        return self.source("lineitem").select(
-            F.concat_ws("-", _text("l_orderkey"), _text("l_linenumber")).alias("id"),
-            _text("l_orderkey").alias("receipt_id"),
-            _text(part).alias("item_id"),
-            F.when(~_every(part, 7), _text(part)).alias("variant_id"),
-            F.concat(F.lit("Item "), _text(F.floor(part / 25))).alias("item_name"),
-            F.col("l_quantity").alias("quantity"),
-            price.alias("price"),
-            gross.alias("gross_total_money"),
-            (gross * (F.lit(1.0) - off)).alias("total_money"),
-            cost.alias("cost"),
-            (F.col("l_quantity") * cost).alias("cost_total"),
-            (gross * off).alias("total_discount"),
-        )
-
-    def _receipt_payments(self) -> DataFrame:
-        """One tender per receipt; every tenth receipt is split 60 / 40 over two."""
-        key, money = F.col("o_orderkey"), F.col("o_totalprice")
-        signed = F.when(_every(key, 20), -money).otherwise(money)
-        split = _every(key, 10, 3)
-
-        def tender(position, type_id, amount):
-            return F.struct(
-                F.lit(position).alias("position"),
-                type_id.alias("payment_type_id"),
-                amount.alias("money_amount"),
-            )
-
-        own = F.col("o_orderpriority")
-        tenders = F.when(
-            split,
-            F.array(
-                tender(1, own, signed * 0.6), tender(2, F.lit(PRIORITIES[0]), signed * 0.4)
-            ),
-        ).otherwise(F.array(tender(1, own, signed)))
-        return self.source("orders").select(
-            _text(key).alias("receipt_id"), F.inline(tenders)
-        )
-
-    # dimensions
-
-    def _items(self) -> DataFrame:
-        key = F.col("p_partkey")
-        return self.source("part").select(
-            _text(key).alias("id"),
-            F.col("p_name").alias("name"),
-            F.when(~_every(key, 13), F.col("p_type")).alias("category_id"),
-            *_audit(key),
-        )
-
-    def _variants(self) -> DataFrame:
-        key = F.col("p_partkey")
-        return self.source("part").select(
-            _text(key).alias("id"),
-            _text(key).alias("item_id"),
-            F.concat(F.lit("SKU-"), _text(key)).alias("sku"),
-            (F.col("p_retailprice") * 0.6).alias("cost"),
-            *_audit(key),
-        )
+        return window.restrict(orders.selectExpr(*PROJECTIONS["receipts"][1]), "receipt_date")
 
     def _categories(self) -> DataFrame:
-        kinds = self.source("part").select(F.col("p_type").alias("id")).distinct()
-        return kinds.withColumn("name", F.initcap("id"))
-
-    def _customers(self) -> DataFrame:
-        key = F.col("c_custkey")
-        first = F.lit(date(1995, 1, 1)).cast("timestamp_ntz") + _days(key * 37 % 2400)
-        domain = F.when(F.col("c_mktsegment").isin("BUILDING", "MACHINERY"), "gmail.com").otherwise(
-            "example.org"
-        )
-        return self.source("customer").select(
-            _text(key).alias("id"),
-            F.col("c_name").alias("name"),
-            F.concat(F.lit("c"), _text(key), F.lit("@"), domain).alias("email"),
-            F.when(~_every(key, 17), first).alias("first_visit"),
-            (first + _days(key % 400) + _hours(key % 13)).alias("last_visit"),
-            (key % 9).cast("int").alias("total_visits"),
-            F.col("c_acctbal").alias("total_spent"),
-            *_audit(key),
-        )
-
-    def _employees(self) -> DataFrame:
-        return self.source("nation").select(
-            _text("n_nationkey").alias("id"), F.col("n_name").alias("name")
-        )
-
-    def _stores(self) -> DataFrame:
-        return self.source("region").select(
-            _text("r_regionkey").alias("id"), F.col("r_name").alias("name")
-        )
+        kinds = self.source("part").selectExpr("p_type AS id").distinct()
+        return kinds.selectExpr("id", "initcap(id) AS name")
 
     def _payment_types(self) -> DataFrame:
-        """All but the last priority, so that one tender stays unlisted."""
-        names = F.array(*map(F.lit, PRIORITIES[:-1]))
-        name = F.get(names, F.col("r_regionkey"))
-        return (
-            self.source("region").select(name.alias("id"), name.alias("name")).filter("id IS NOT NULL")
-        )
+        """All but the last of the five priorities, so that one tender stays unlisted."""
+        names = "get(array('1-URGENT', '2-HIGH', '3-MEDIUM', '4-NOT SPECIFIED'), r_regionkey)"
+        named = self.source("region").selectExpr(f"{names} AS id", f"{names} AS name")
+        return named.filter("id IS NOT NULL")
 
     def _inventory(self) -> DataFrame:
-        store = F.explode(F.sequence(F.lit(0), F.lit(4))).alias("store")
-        return (
-            self.source("part")
-            .select("p_partkey", store)
-            .select(
-                _text("p_partkey").alias("variant_id"),
-                _text("store").alias("store_id"),
-                ((F.col("p_partkey") * 7 + F.col("store") * 3) % 23 - 1).cast("int").alias("in_stock"),
-                (F.lit(AS_OF).cast("timestamp_ntz") - _days(F.col("p_partkey") % 60)).alias(
-                    "updated_at"
-                ),
-            )
+        per_store = self.source("part").selectExpr("p_partkey", "explode(sequence(0, 4)) AS store")
+        return per_store.selectExpr(
+            "string(p_partkey) AS variant_id",
+            "string(store) AS store_id",
+            "int((p_partkey * 7 + store * 3) % 23 - 1) AS in_stock",
+            "timestamp_ntz'2001-08-01' - make_dt_interval(int(p_partkey % 60)) AS updated_at",
         )
 
     def _variant_store(self) -> DataFrame:
         """Only every third part has settings of its own per store."""
-        key = F.col("p_partkey")
-        store = F.explode(F.sequence(F.lit(0), F.lit(4))).alias("store")
-        return (
-            self.source("part")
-            .filter(_every(key, 3))
-            .select(key, store)
-            .select(
-                _text(key).alias("variant_id"),
-                _text("store").alias("store_id"),
-                F.when(~_every(key, 4), (key % 9).cast("double")).alias("low_stock_threshold"),
-            )
+        chosen = self.source("part").filter("p_partkey % 3 = 0")
+        return chosen.selectExpr("p_partkey", "explode(sequence(0, 4)) AS store").selectExpr(
+            "string(p_partkey) AS variant_id",
+            "string(store) AS store_id",
+            "if(p_partkey % 4 <> 0, double(p_partkey % 9), NULL) AS low_stock_threshold",
         )
-
-
-def _audit(key: Column) -> list[Column]:
-    created = F.lit(date(1999, 1, 1)).cast("timestamp_ntz") + _days(key % 700)
-    changed = created + _days(key % 11)
-    return [
-        created.alias("created_at"),
-        changed.alias("updated_at"),
-        F.when(_every(key, 19), changed).alias("deleted_at"),
-    ]
