@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -149,9 +149,9 @@ class Warehouse(Tables):
 
     def _touched(self, spec: TableSpec, staged: DataFrame) -> list:
         """Partitions of the new and of the replaced rows: at most one per month or bucket."""
-        new = staged.select(F.col(spec.partition).alias("p"))
-        old = staged.filter("_known").select(F.col(_STORED_IN).alias("p"))
-        return [r.p for r in new.union(old).distinct().collect()]
+        new = staged.select(spec.partition)
+        old = staged.filter("_known").select(_STORED_IN)
+        return list(_values(new.union(old), spec.partition))
 
     def _replace(
         self, spec: TableSpec, rows: DataFrame, parents: DataFrame, touched: list
@@ -159,8 +159,9 @@ class Warehouse(Tables):
         """Swap the rows of ``parents`` for ``rows`` in the touched partitions."""
         if not spec.by_month:
             rows = rows.withColumn(BUCKET, _bucket(spec))
-            if spec.owner:
-                touched = _rebucket(self.spark, spec, parents)
+            if spec.owner:  # the buckets that hold rows of these parents
+                owners = parents.toDF(spec.owner).select(_bucket(spec).alias(BUCKET))
+                touched = list(_values(owners, BUCKET))
         key = [spec.owner] if spec.owner else list(spec.key)
         rows = rows.dropDuplicates(list(spec.key)) if spec.owner else rows
         kept = (
@@ -168,15 +169,12 @@ class Warehouse(Tables):
             .filter(_is_one_of(spec.partition, touched))
             .join(parents.toDF(*key).distinct(), key, "left_anti")
         )
-        merged = kept.unionByName(rows.select(*spec.columns, spec.partition))
-        seen = Observation()
-        partition = F.col(spec.partition)
+        # an overwrite leaves a partition alone that gets no rows: those are removed
+        bare = set(touched) - _values(rows, spec.partition)
+        if bare:
+            bare -= _values(kept.filter(_is_one_of(spec.partition, list(bare))), spec.partition)
         (
-            merged.observe(
-                seen,
-                F.collect_set(partition.cast("string")).alias("filled"),
-                F.count_if(partition.isNull()).alias("undated"),
-            )
+            kept.unionByName(rows.select(*spec.columns, spec.partition))
             # even out file sizes: one hot month becomes many files
             .hint("rebalance", spec.partition)
             .write.mode("overwrite")
@@ -184,12 +182,9 @@ class Warehouse(Tables):
             .partitionBy(spec.partition)
             .parquet(self.path(spec.name))
         )
-        filled = set(seen.get["filled"]) | ({None} if seen.get["undated"] else set())
-        for value in touched:
-            # an overwrite leaves a partition alone that has no rows any more
-            if (None if value is None else str(value)) not in filled:
-                name = "__HIVE_DEFAULT_PARTITION__" if value is None else value
-                self._delete(f"{self.path(spec.name)}/{spec.partition}={name}")
+        for value in bare:
+            name = "__HIVE_DEFAULT_PARTITION__" if value is None else value
+            self._delete(f"{self.path(spec.name)}/{spec.partition}={name}")
 
     # counting
 
@@ -211,10 +206,9 @@ def _bucket(spec: TableSpec) -> Column:
     return F.pmod(F.xxhash64(spec.bucket_key), F.lit(spec.buckets)).cast("int")
 
 
-def _rebucket(spark: SparkSession, spec: TableSpec, parents: DataFrame) -> list:
-    """Buckets of a nested table that hold rows of these parents; at most ``buckets``."""
-    keys = parents.toDF(spec.owner)
-    return [r[0] for r in keys.select(_bucket(spec)).distinct().collect()]
+def _values(df: DataFrame, partition: str) -> set:
+    """The partitions a DataFrame has rows for: at most one per month or bucket."""
+    return {r[0] for r in df.select(partition).distinct().collect()}
 
 
 def _is_one_of(column: str, values: list) -> Column:
