@@ -1,8 +1,7 @@
 """Exact sums and one rounding rule for money, rates and percentages.
 
 Stored amounts are DOUBLE. Adding doubles gives an answer that depends on task
-order, so amounts are added as whole ten-thousandths in a wide decimal, which is
-exact, cannot overflow, and costs about as much as adding longs.
+order, so amounts are added as whole ten-thousandths ("ticks").
 """
 
 from __future__ import annotations
@@ -12,7 +11,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 TICKS_PER_UNIT = 10_000.0
-_TICKS = T.DecimalType(18, 0)
+_LOW_BITS = 20  # leaves room for 2^43 rows per group
+_LONG = T.DecimalType(19, 0)
 
 
 def _col(value: Column | str) -> Column:
@@ -20,8 +20,15 @@ def _col(value: Column | str) -> Column:
 
 
 def exact_sum(value: Column | str) -> Column:
-    """SUM in ticks; these sums may be added up again. ``amount`` turns them back."""
-    return F.sum(F.floor(_col(value) * TICKS_PER_UNIT + 0.5).cast(_TICKS))
+    """SUM in ticks; these sums may be added up again. ``amount`` turns them back.
+
+    High and low bits are summed apart as longs and joined once per group: a decimal
+    buffer would cost many times more per row, one long could overflow.
+    """
+    ticks = F.floor(_col(value) * TICKS_PER_UNIT + 0.5)
+    high = F.sum(F.shiftright(ticks, _LOW_BITS)).cast(_LONG)
+    low = F.sum(ticks.bitwiseAND(F.lit(2**_LOW_BITS - 1))).cast(_LONG)
+    return high * F.lit(2**_LOW_BITS).cast("decimal(7,0)") + low
 
 
 def amount(ticks: Column | str) -> Column:

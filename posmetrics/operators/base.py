@@ -48,6 +48,24 @@ class MetricGroup:
         )
 
 
+def grouped_with_distinct(
+    df: DataFrame, group: list[str], distinct: str, counted: str, sums: dict[str, Column | str]
+) -> DataFrame:
+    """Per group the number of distinct values, and sums in ticks, and ``rows``.
+
+    Grouping by the distinct column first makes both steps plain sums, and spreads a
+    hot group over as many tasks as it has distinct values.
+    """
+    first = df.groupBy(*group, distinct).agg(
+        F.count(F.lit(1)).alias("rows"), *(exact_sum(c).alias(n) for n, c in sums.items())
+    )
+    return first.groupBy(*group).agg(
+        F.count(distinct).alias(counted),
+        F.sum("rows").alias("rows"),
+        *(F.sum(n).alias(n) for n in sums),
+    )
+
+
 def tx_count() -> Column:
     return F.count(F.lit(1)).alias("tx_count")
 

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from posmetrics.functions.money import mean, ratio, rnd, share_of_total, total
-from posmetrics.operators.base import MetricGroup, tx_count
+from posmetrics.functions.money import amount, mean, ratio, rnd, share_of_total, total
+from posmetrics.operators.base import MetricGroup, grouped_with_distinct, tx_count
 
 # Weekday names, Monday first.
 WEEKDAYS = ("Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday", "Sunday")
@@ -53,20 +53,25 @@ class Operations(MetricGroup):
             F.col("receipt_id").alias("receipt_number"), "payment_type_id", "money_amount"
         )
         types = self._names("payment_types", "payment_type_id", "payment_type")
-        return (
+        tenders = (
             sales.join(payments, "receipt_number", "left")
             .join(types, "payment_type_id", "left")
-            .groupBy(F.coalesce("payment_type", F.lit("Unknown")).alias("payment_type"))
-            .agg(
-                F.count_distinct("receipt_number").alias("tx_count"),
-                total(F.coalesce("money_amount", "total_money")).alias("_revenue"),
-            )
-            .select(
+            .withColumn("payment_type", F.coalesce("payment_type", F.lit("Unknown")))
+        )
+        grouped = grouped_with_distinct(
+            tenders,
+            ["payment_type"],
+            "receipt_number",
+            "tx_count",
+            {"_revenue": F.coalesce("money_amount", "total_money")},
+        )
+        return (
+            grouped.select(
                 "payment_type",
                 "tx_count",
-                rnd("_revenue", 2).alias("revenue"),
+                rnd(amount("_revenue"), 2).alias("revenue"),
                 share_of_total("tx_count").alias("tx_pct"),
-                share_of_total("_revenue").alias("revenue_pct"),
+                share_of_total(amount("_revenue")).alias("revenue_pct"),
             )
             .orderBy(F.desc("revenue"), "payment_type")
         )

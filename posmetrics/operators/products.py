@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from posmetrics.functions.money import rnd, share_of_total, total
-from posmetrics.operators.base import MetricGroup
+from posmetrics.functions.money import amount, rnd, share_of_total, total
+from posmetrics.operators.base import MetricGroup, grouped_with_distinct
 
 
 class Products(MetricGroup):
@@ -15,20 +15,20 @@ class Products(MetricGroup):
     ) -> DataFrame:
         """category, tx_count, revenue, units_sold, pct_share."""
         lines = self._sold_lines(self._window(days, date_start, date_end), store_id)
+        grouped = grouped_with_distinct(
+            self._with_category(lines),
+            ["category"],
+            "receipt_number",
+            "tx_count",
+            {"_revenue": "total_money", "_units": "quantity"},
+        )
         return (
-            self._with_category(lines)
-            .groupBy("category")
-            .agg(
-                F.count_distinct("receipt_number").alias("tx_count"),
-                total("total_money").alias("_revenue"),
-                total("quantity").alias("units_sold"),
-            )
-            .select(
+            grouped.select(
                 "category",
                 "tx_count",
-                rnd("_revenue", 2).alias("revenue"),
-                "units_sold",
-                share_of_total("_revenue").alias("pct_share"),
+                rnd(amount("_revenue"), 2).alias("revenue"),
+                amount("_units").alias("units_sold"),
+                share_of_total(amount("_revenue")).alias("pct_share"),
             )
             .orderBy(F.desc("revenue"), "category")
         )
@@ -38,12 +38,19 @@ class Products(MetricGroup):
     ) -> DataFrame:
         """item, total_qty, total_revenue, tx_count of the n best sellers."""
         lines = self._sold_lines(self._window(days, date_start, date_end), store_id)
+        grouped = grouped_with_distinct(
+            lines,
+            ["item_name"],
+            "receipt_number",
+            "tx_count",
+            {"_units": "quantity", "_revenue": "total_money"},
+        )
         return (
-            lines.groupBy(F.col("item_name").alias("item"))
-            .agg(
-                total("quantity").alias("total_qty"),
-                rnd(total("total_money"), 2).alias("total_revenue"),
-                F.count_distinct("receipt_number").alias("tx_count"),
+            grouped.select(
+                F.col("item_name").alias("item"),
+                amount("_units").alias("total_qty"),
+                rnd(amount("_revenue"), 2).alias("total_revenue"),
+                "tx_count",
             )
             .orderBy(F.desc("total_revenue"), "item")
             .limit(n)

@@ -8,9 +8,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from posmetrics.functions.money import mean, ratio, rnd, total
+from posmetrics.functions.money import amount, ratio, rnd, total
 from posmetrics.functions.period import ALWAYS
-from posmetrics.operators.base import MetricGroup, tx_count
+from posmetrics.operators.base import MetricGroup, grouped_with_distinct, tx_count
 
 def by_date() -> WindowSpec:
     return Window.orderBy("date")
@@ -54,15 +54,20 @@ class TimeSeries(MetricGroup):
 
     def monthly_summary(self, months=12, store_id=None) -> DataFrame:
         """month, revenue, tx_count, unique_customers, avg_ticket, and the change."""
-        monthly = (
-            self._sales(store_id=store_id)
-            .groupBy(F.trunc(F.to_date("receipt_date"), "month").alias("month"))
-            .agg(
-                total("total_money").alias("revenue"),
-                tx_count(),
-                F.count_distinct("customer_id").alias("unique_customers"),
-                rnd(mean("total_money"), 2).alias("avg_ticket"),
-            )
+        monthly = grouped_with_distinct(
+            self._sales(store_id=store_id).withColumn(
+                "month", F.trunc(F.to_date("receipt_date"), "month")
+            ),
+            ["month"],
+            "customer_id",
+            "unique_customers",
+            {"_revenue": "total_money"},
+        ).select(
+            "month",
+            amount("_revenue").alias("revenue"),
+            F.col("rows").alias("tx_count"),
+            "unique_customers",
+            rnd(amount("_revenue") / F.col("rows"), 2).alias("avg_ticket"),
         )
         return (
             monthly.withColumn(

@@ -159,6 +159,14 @@ def streaming_sync(spark, sf_dir):
     return warehouse.table("receipts").select(*RECEIPT)
 
 
+def table_counts(spark, sf_dir):
+    """Two loaded resources; the other tables are there but empty, or missing."""
+    warehouse = Warehouse(configure(spark), f"{scratch_dir(spark, 'counts')}/warehouse")
+    for resource in ("customers", "employees"):
+        warehouse.upsert(resource, intake.valid(_prepared(spark, sf_dir, resource)))
+    return warehouse.counts()
+
+
 def metric_on_warehouse(spark, sf_dir):
     warehouse, _ = _fresh(spark, "metric")
     warehouse.upsert("receipts", intake.valid(_prepared(spark, sf_dir, "receipts")))
@@ -340,7 +348,8 @@ QUERIES = {
     "w04_incremental_sync": incremental_sync,
     "w05_streaming_sync": streaming_sync,
     "w06_sync_metadata": sync_metadata,
-    "w07_metric_on_warehouse": metric_on_warehouse,
+    "w02_metric_on_warehouse": metric_on_warehouse,
+    "w07_table_counts": table_counts,
     "w09_csv_sink": _roundtrip(sinks.write_csv, _read_csv),
     "w10_parquet_sink": _roundtrip(
         sinks.write_parquet, lambda spark, path, df: spark.read.parquet(path)

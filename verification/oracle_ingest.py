@@ -323,7 +323,13 @@ RAW = {
                (SELECT COUNT(*) FROM c, h WHERE updated_at >= mark) AS records_count, 'incremental' AS sync_type
         UNION ALL SELECT 'items', MAX(a), COUNT(*), 'full' FROM {PART}
         UNION ALL SELECT 'customers', MAX(b), COUNT(*), 'full' FROM {CUSTOMER}""",
-    "w07_metric_on_warehouse": f"""
+    "w07_table_counts": " UNION ALL ".join(
+        f"SELECT '{t}' AS table_name, CAST("
+        + (f"({COUNTS[t]}) * {TIMES.get(t, 1)}" if t in ("customers", "employees", "employee_store") else "0")
+        + " AS BIGINT) AS row_count"
+        for t in COUNTS
+    ),
+    "w02_metric_on_warehouse": f"""
         SELECT CAST(r.receipt_date AS DATE) AS date, {m.MARGINS.replace('total_money', 'l.total_money')}
         FROM ({LINES}) l JOIN (SELECT 'R-' || k AS receipt_number, a AS receipt_date FROM {ORDERS}
               WHERE k % 41 <> 0 AND k % 20 <> 0 AND k % 50 <> 7) r ON l.receipt_id = r.receipt_number
