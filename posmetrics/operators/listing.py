@@ -28,13 +28,13 @@ def parse_day(word: str, today: date, end_of_day: bool = False) -> datetime | st
         try:
             day = date.fromisoformat(text)
         except ValueError as error:
-            raise ValueError(f"Invalid date: '{word}' (expected YYYY-MM-DD)") from error
+            raise ValueError(f"not a day: {word!r}; use today, yesterday or YYYY-MM-DD") from error
     return datetime.combine(day, time(23, 59, 59) if end_of_day else time())
 
 
 def check_range(low, high, what: str) -> None:
     if low is not None and high is not None and low > high:
-        raise ValueError(f"{what}_min must be <= {what}_max")
+        raise ValueError(f"the lower bound on {what} lies after the upper one")
 
 
 def iso_text(c: Column) -> Column:
@@ -97,7 +97,7 @@ class Listing(MetricGroup):
         check_range(created_at_min, created_at_max, "created_at")
         check_range(updated_at_min, updated_at_max, "updated_at")
         if limit is not None and limit < 1:
-            raise ValueError("limit must be at least 1")
+            raise ValueError("a limit below 1 would list nothing")
         df = self.tables.table(table)
         present = set(df.columns)
         for column, low, high in (
@@ -164,14 +164,14 @@ class Listing(MetricGroup):
     def latest_receipts(self, n: int = 1) -> DataFrame:
         """The n newest receipts, fewer if there are fewer."""
         if n < 1:
-            raise ValueError(f"Invalid value for n: {n}. Must be at least 1.")
+            raise ValueError(f"cannot take the latest {n} receipts")
         return self.list_records("receipts", limit=n)
 
     def latest_receipt(self):
         """The newest receipt as a row; an error when there is none."""
         rows = self.latest_receipts(1).take(1)
         if not rows:
-            raise LookupError("No receipts found in the system")
+            raise LookupError("there are no receipts")
         return rows[0]
 
     def receipts_today(self, today: date | None = None) -> DataFrame:
@@ -185,10 +185,10 @@ class Listing(MetricGroup):
         elif isinstance(moment, date):
             start = datetime.combine(moment, time())
         else:
-            raise TypeError(f"expected datetime or date, got {type(moment).__name__}")
+            raise TypeError(f"a {type(moment).__name__} is neither date nor datetime")
         last = datetime.combine(today or self.as_of or date.today(), time.max)
         if start > last:
-            raise ValueError(f"Cannot fetch receipts from future date: {moment}")
+            raise ValueError(f"{moment} lies in the future")
         return self.list_records("receipts", limit=None, created_at_min=start)
 
 

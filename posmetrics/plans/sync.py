@@ -50,6 +50,14 @@ class Loader:
     def prepared(self, resource: str) -> DataFrame:
         return intake.prepared(self.landing.pages(resource), resource, self.now, self.zone)
 
+    def rejected(self, resource: str) -> DataFrame:
+        """Records left out because they break a rule, with the reasons."""
+        return intake.rejected(self.prepared(resource))
+
+    def unreadable(self, resource: str) -> DataFrame:
+        """Pages left out because they hold no list of records."""
+        return intake.unreadable(self.landing.pages(resource), resource)
+
     def load_resource(self, resource: str, **bounds) -> int:
         return self._merge(resource, bounds)[0]
 
@@ -64,7 +72,7 @@ class Loader:
             try:
                 counts[resource], marks[resource] = self._merge(resource, bounds)
             except Exception as error:
-                raise LoadError(f"Failed to load {resource}: {error}") from error
+                raise LoadError(f"{resource} could not be loaded: {error}") from error
         self._record(counts, marks, "full")
         return counts
 
@@ -85,7 +93,7 @@ class Loader:
             except Exception as error:
                 report.errors[resource] = str(error)
         if ordered and len(report.errors) == len(ordered):
-            raise LoadError("All resources failed to sync.")
+            raise LoadError("not one resource could be synced")
         for kind in ("full", "incremental"):
             self._record({r: n for r, n in report.counts.items() if kinds[r] == kind}, marks, kind)
         return report

@@ -163,7 +163,7 @@ class Warehouse(Tables):
                 owners = parents.toDF(spec.owner).select(_bucket(spec).alias(BUCKET))
                 touched = list(_values(owners, BUCKET))
         key = [spec.owner] if spec.owner else list(spec.key)
-        rows = rows.dropDuplicates(list(spec.key)) if spec.owner else rows
+        rows = rows.dropDuplicates(list(spec.key)) if spec.may_repeat else rows
         kept = (
             self.stored(spec.name)
             .filter(_is_one_of(spec.partition, touched))
@@ -220,5 +220,5 @@ def _is_one_of(column: str, values: list) -> Column:
 def resources_in_order(wanted: list[str] | None = None) -> list[str]:
     unknown = set(wanted or ()) - set(RESOURCES)
     if unknown:
-        raise ValueError(f"Unknown resource: {', '.join(sorted(unknown))}")
+        raise ValueError(f"no such resource: {', '.join(sorted(unknown))}")
     return [r for r in LOAD_ORDER if wanted is None or r in wanted]

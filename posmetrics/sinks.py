@@ -42,7 +42,7 @@ def render(df: DataFrame, fmt: str = "dataframe") -> DataFrame:
     elif fmt == "csv":
         line = F.to_csv(row, {"quote": '"', "escape": '"'})
     else:
-        raise ValueError(f"Unsupported format: {fmt}")
+        raise ValueError(f"cannot render {fmt!r}")
     return as_text(df).select(line.alias("line"))
 
 

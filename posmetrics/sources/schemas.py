@@ -32,6 +32,13 @@ class TableSpec:
     def partition(self) -> str:
         return MONTH if self.by_month else BUCKET
 
+    @property
+    def may_repeat(self) -> bool:
+        """Whether one batch can hold a key twice; elsewhere the split rules it out."""
+        return self.owner is not None and (
+            self.owner not in self.key or self.name == "variant_store"
+        )
+
     @property
     def bucket_key(self) -> str:
         """Rows of one parent share a bucket with each other and with the parent."""
