@@ -6,10 +6,9 @@ import pytest
 
 import __spark_entry__ as entry
 from tests.conftest import SF_DIR
+from verification.catalogue import ORACLE, QUERIES
 from verification.compare import connect, difference
 
-QUERIES, ORACLE = entry.queries(), entry.oracle_sql()
-
 
 @pytest.fixture(scope="module")
 def connection():

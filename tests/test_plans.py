@@ -11,8 +11,9 @@ from posmetrics import Engine
 from posmetrics.functions.period import DateWindow
 from posmetrics.sources.star import AS_OF, StarTables
 from tests.conftest import SF_DIR
+from verification import catalogue
 
-LAZY = [k for k in entry.queries() if k[0] in "aeir" and k != "a12_rfm_analysis"]
+LAZY = [k for k in catalogue.QUERIES if k[0] in "aeir" and k != "a12_rfm_analysis"]
 
 
 def plan_of(df) -> str:
