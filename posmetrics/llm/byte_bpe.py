@@ -22,6 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, BinaryType, DataType, IntegerType
 
 from posmetrics.llm.common import pieces, table, texts_of, vocabulary_path
 
@@ -33,6 +34,7 @@ PIECE = 4_000_000  # characters handled at a time
 AT_ONCE = 5_000  # words of one recursive query
 LONG = 256  # bytes from which a word goes to the query that keeps only its newest state
 MEMORY = "256MB"
+IDS = ArrayType(IntegerType())
 
 # A text may be cut before a space that follows something else than white space: no match
 # of the pattern holds such a pair, and none looks back.
@@ -231,7 +233,7 @@ def ids_array(ids: list[bytes]) -> pa.ListArray:
 
 def encode(docs: DataFrame, path: str, text_col: str = "text", ids_col: str = "ids") -> DataFrame:
     """``docs`` with one more column, the ids of each text; it replaces one of its name."""
-    return _mapped(docs, path, text_col, [(ids_col, "array<int>")], lambda own, some: [ids_array(own.encode(some))])
+    return _mapped(docs, path, text_col, [(ids_col, IDS)], lambda own, some: [ids_array(own.encode(some))])
 
 
 def round_trip(docs: DataFrame, path: str, text_col: str = "text") -> DataFrame:
@@ -241,7 +243,7 @@ def round_trip(docs: DataFrame, path: str, text_col: str = "text") -> DataFrame:
         ids = ids_array(own.encode(some))
         return [ids, pa.array(own.decode(ids), pa.binary())]
 
-    return _mapped(docs, path, text_col, [("ids", "array<int>"), ("decoded", "binary")], both)
+    return _mapped(docs, path, text_col, [("ids", IDS), ("decoded", BinaryType())], both)
 
 
 def decode(df: DataFrame, path: str, ids_col: str = "ids", out_col: str = "decoded") -> DataFrame:
@@ -261,7 +263,7 @@ def decode(df: DataFrame, path: str, ids_col: str = "ids", out_col: str = "decod
     return kept.mapInArrow(run, kept.schema.add(out_col, "binary"))
 
 
-def _mapped(docs: DataFrame, path: str, text_col: str, added: list[tuple[str, str]], make) -> DataFrame:
+def _mapped(docs: DataFrame, path: str, text_col: str, added: list[tuple[str, DataType]], make) -> DataFrame:
     names = [n for n, _ in added]
     kept = docs.drop(*(n for n in names if n != text_col))
     schema = kept.schema
