@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from posmetrics.llm import byte_bpe, decontaminate, language, token_counts, token_files
+from posmetrics.llm import byte_bpe, decontaminate, language, personal_data, token_counts, token_files
 
 QUERIES = {
+    "op2_personal_data": personal_data.op2_personal_data,
     "op6_language": language.op6_language,
     "op7_token_files": token_files.op7_token_files,
     "op8_token_counts": token_counts.op8_token_counts,
