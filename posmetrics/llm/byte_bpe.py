@@ -22,7 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, BinaryType, DataType, IntegerType
+from pyspark.sql.types import ArrayType, BinaryType, DataType, IntegerType, StructField, StructType
 
 from posmetrics.llm.common import pieces, table, texts_of, vocabulary_path
 
@@ -260,15 +260,13 @@ def decode(df: DataFrame, path: str, ids_col: str = "ids", out_col: str = "decod
                 [*batch.columns, pa.array(found, pa.binary())], [*batch.schema.names, out_col]
             )
 
-    return kept.mapInArrow(run, kept.schema.add(out_col, "binary"))
+    return kept.mapInArrow(run, StructType([*kept.schema, StructField(out_col, BinaryType())]))
 
 
 def _mapped(docs: DataFrame, path: str, text_col: str, added: list[tuple[str, DataType]], make) -> DataFrame:
     names = [n for n, _ in added]
     kept = docs.drop(*(n for n in names if n != text_col))
-    schema = kept.schema
-    for name, kind in added:
-        schema = schema.add(name, kind)
+    schema = StructType([*kept.schema, *(StructField(name, kind) for name, kind in added)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = engine(path)
