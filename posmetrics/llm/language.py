@@ -26,6 +26,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, DoubleType, StringType, StructField, StructType
 
 from posmetrics.llm.common import pieces, table, texts_of
 
@@ -180,7 +181,8 @@ def identify(
     """``docs`` with predicted language, score and the ambiguity flag; these replace
     columns of their names."""
     kept = docs.drop(*(n for n in names if n != text_col))
-    schema = kept.schema.add(names[0], "string").add(names[1], "double").add(names[2], "boolean")
+    kinds = (StringType(), DoubleType(), BooleanType())
+    schema = StructType([*kept.schema, *map(StructField, names, kinds)])
     held = docs.sparkSession.sparkContext.broadcast(model)  # bounded by FEATURES and LANGUAGES
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
