@@ -2,10 +2,21 @@
 
 from __future__ import annotations
 
-from posmetrics.llm import byte_bpe, decontaminate, language, personal_data, token_counts, token_files
+from posmetrics.llm import (
+    byte_bpe,
+    chat,
+    decontaminate,
+    language,
+    personal_data,
+    token_counts,
+    token_files,
+    url_filter,
+)
 
 QUERIES = {
     "op2_personal_data": personal_data.op2_personal_data,
+    "op3_url_filter": url_filter.op3_url_filter,
+    "op4_chat_format": chat.op4_chat_format,
     "op6_language": language.op6_language,
     "op7_token_files": token_files.op7_token_files,
     "op8_token_counts": token_counts.op8_token_counts,
@@ -13,4 +24,4 @@ QUERIES = {
     "op10_byte_bpe": byte_bpe.op10_byte_bpe,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {"op4_chat_format": chat.OP4_SQL}
