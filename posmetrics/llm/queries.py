@@ -6,6 +6,7 @@ from posmetrics.llm import (
     byte_bpe,
     chat,
     decontaminate,
+    embedding_dedup,
     language,
     personal_data,
     token_counts,
@@ -14,6 +15,7 @@ from posmetrics.llm import (
 )
 
 QUERIES = {
+    "op1_embedding_dedup": embedding_dedup.op1_embedding_dedup,
     "op2_personal_data": personal_data.op2_personal_data,
     "op3_url_filter": url_filter.op3_url_filter,
     "op4_chat_format": chat.op4_chat_format,
