@@ -12,7 +12,7 @@ from posmetrics.session import shared_root
 
 # Fast word-by-word paths hold for texts below this code point: there every character is
 # stable under NFC, and case mapping does not depend on context.
-SIMPLE_LIMIT = "ɐ"
+SIMPLE_LIMIT = "\u0250"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -20,7 +20,7 @@ _WORD = np.zeros(256, bool)
 for _a, _b in ((48, 58), (65, 91), (97, 123), (128, 256)):
     _WORD[_a:_b] = True
 # punctuation and spaces beyond ASCII
-_BREAKS = re.compile("[\x80-\xa9\xab-\xb4\xb6-\xb9\xbb-\xbf×÷ -⁯⸀-⹿ -〿！-／：-＠]")
+_BREAKS = re.compile("[\x80-\xa9\xab-\xb4\xb6-\xb9\xbb-\xbf\xd7\xf7\u2000-\u206f\u2e00-\u2e7f\u3000-\u303f\uff01-\uff0f\uff1a-\uff20]")
 
 
 def mix(x: np.ndarray) -> np.ndarray:
