@@ -8,6 +8,7 @@ from posmetrics.llm import (
     decontaminate,
     embedding_dedup,
     language,
+    minhash_dedup,
     personal_data,
     token_counts,
     token_files,
@@ -19,6 +20,7 @@ QUERIES = {
     "op2_personal_data": personal_data.op2_personal_data,
     "op3_url_filter": url_filter.op3_url_filter,
     "op4_chat_format": chat.op4_chat_format,
+    "op5_minhash_dedup": minhash_dedup.op5_minhash_dedup,
     "op6_language": language.op6_language,
     "op7_token_files": token_files.op7_token_files,
     "op8_token_counts": token_counts.op8_token_counts,
