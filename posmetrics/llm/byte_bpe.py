@@ -29,7 +29,7 @@ from posmetrics.llm.common import pieces, table, texts_of, vocabulary_path
 VOCABULARY = "byte_bpe_50k.tiktoken"
 # fixed value: the pattern that goes with the vocabulary
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
-CACHE = 400_000  # stretches of text a Python process remembers
+CACHE = 600_000  # words and stretches of text a Python process remembers
 PIECE = 4_000_000  # characters handled at a time
 AT_ONCE = 5_000  # words of one recursive query
 LONG = 256  # bytes from which a word goes to the query that keeps only its newest state
@@ -147,7 +147,7 @@ class ByteBpe:
         self.db.execute("CREATE TABLE merges AS SELECT l::INT AS l, r::INT AS r, id::BIGINT AS id FROM pairs")
         # a byte is written as the character of its value; 0, which strings may not hold, as 256
         held = pa.table(  # noqa: F841
-            {"id": list(ranks.values()), "chars": [t.decode("latin-1").replace("\0", "Ā") for t in ranks]}
+            {"id": list(ranks.values()), "chars": [t.decode("latin-1").replace("\0", "\u0100") for t in ranks]}
         )
         self.db.execute("CREATE TABLE vocabulary AS SELECT id::INT AS id, chars FROM held")
 
@@ -195,10 +195,11 @@ class ByteBpe:
         if len(self.known) + len(new) > CACHE:
             self.known.clear()
             new = needed
+        # stretches and their words share the cache: most words of a new stretch are known
         split = {p: self.split(p) for p in new}
-        ids = self.words(set().union(*split.values()))
-        self.known.update((p, b"".join([ids[w] for w in own])) for p, own in split.items())
+        self.known.update(self.words(set().union(*split.values()).difference(self.known)))
         get = self.known.__getitem__
+        self.known.update([(p, b"".join(map(get, own))) for p, own in split.items() if len(own) > 1])
         return [b"".join(map(get, own)) for own in parts]
 
     def decode(self, ids: pa.ListArray) -> list[bytes]:
@@ -206,7 +207,7 @@ class ByteBpe:
         rows = self.db.execute(DECODE).fetchall()
         out = [b""] * len(ids)
         for doc, chars in rows:
-            out[doc] = chars.replace("Ā", "\0").encode("latin-1")
+            out[doc] = chars.replace("\u0100", "\0").encode("latin-1")
         return out
 
 

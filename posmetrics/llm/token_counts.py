@@ -23,7 +23,7 @@ from posmetrics.llm.common import pieces, table, texts_of, vocabulary_path
 
 VOCABULARY = "piece_bpe_32k.model"
 LIMIT = 4096
-SPACE = "▁"  # how the vocabulary writes a space
+SPACE = "\u2581"  # how the vocabulary writes a space
 CACHE = 700_000
 PIECE = 4_000_000
 _STRETCH = re.compile(r" +[^ \n]*|[^ \n]+|\n")
