@@ -34,6 +34,7 @@ PIECE = 4_000_000  # characters handled at a time
 AT_ONCE = 5_000  # words of one recursive query
 LONG = 256  # bytes from which a word goes to the query that keeps only its newest state
 MEMORY = "256MB"
+ENDS = ".,;:!?"
 IDS = ArrayType(IntegerType())
 
 # A text may be cut before a space that follows something else than white space: no match
@@ -188,6 +189,15 @@ class ByteBpe:
             out[w] = self.merge([b], MERGE_LONG_WORDS)[0]
         return out
 
+    def parts(self, stretch: str) -> list[str]:
+        """Matches of the pattern; the two usual shapes, a word of letters alone or with one
+        mark after it, need no matching."""
+        if stretch[1:].isalpha() and (stretch[0] == " " or stretch[0].isalpha()):
+            return [stretch]
+        if stretch[-1] in ENDS and stretch[1:-1].isalpha() and (stretch[0] == " " or stretch[0].isalpha()):
+            return [stretch[:-1], stretch[-1]]
+        return self.split(stretch)
+
     def encode(self, texts: list[str]) -> list[bytes]:
         parts = [_cut(t) for t in texts]
         needed = set().union(*parts)
@@ -196,7 +206,7 @@ class ByteBpe:
             self.known.clear()
             new = needed
         # stretches and their words share the cache: most words of a new stretch are known
-        split = {p: self.split(p) for p in new}
+        split = {p: self.parts(p) for p in new}
         self.known.update(self.words(set().union(*split.values()).difference(self.known)))
         get = self.known.__getitem__
         self.known.update([(p, b"".join(map(get, own))) for p, own in split.items() if len(own) > 1])
