@@ -16,6 +16,11 @@ SIMPLE_LIMIT = "\u0250"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    # Python workers import this package, also where they don't start in its folder
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    known = spark.sparkContext.environment.get("PYTHONPATH") or os.environ.get("PYTHONPATH", "")
+    if root not in known.split(os.pathsep):
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(filter(None, (root, known)))
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

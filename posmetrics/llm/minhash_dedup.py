@@ -373,5 +373,20 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     )
 
 
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` that stay, one of each class, with all their columns. Of rows
+    that repeat an id one stays; rows without an id all do."""
+    number, own = "_rows_of_id", "_id_kept"
+    keep = written(
+        classes(docs, id_col, text_col).where("kept").groupBy(F.col("doc_id").alias(own)).agg(F.count("*").alias(number)),
+        "kept",
+    )
+    met = docs.join(keep, F.col(id_col).cast("long") == F.col(own))
+    once = met.where(F.col(number) == 1)
+    repeated = met.where(F.col(number) > 1).dropDuplicates([own])
+    nameless = docs.where(F.col(id_col).cast("long").isNull())
+    return once.unionByName(repeated).select(*docs.columns).unionByName(nameless)
+
+
 def op5_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classes(table(spark, sf_dir, "documents").select("doc_id", "text"))
