@@ -65,7 +65,8 @@ def codewords(n: int) -> np.ndarray:
 def grams(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """Feature numbers of all byte pairs, triples and quadruples of the texts, and the
     positions at which each text begins. White space counts as one space."""
-    parts = [b" %b " % " ".join(t.lower().split()).encode() for t in texts]
+    # three spaces before each text: no n-gram sees two of them
+    parts = [b"   %b " % " ".join(t.lower().split()).encode() for t in texts]
     raw = np.frombuffer(b"".join(parts) + b"   ", np.uint8).astype(np.uint32)
     first = np.concatenate([[0], np.cumsum([len(p) for p in parts])])
     n = len(raw) - 3
