@@ -44,6 +44,8 @@ _LETTER = re.compile(r"[^\W\d_]")
 def codewords(n: int) -> np.ndarray:
     """``n`` codewords of +1 and -1: all splits of up to five languages, otherwise the
     random code of the largest least distance among a few."""
+    if n < 2:
+        return np.ones((n, 0))
     if n <= 5:
         rows = []
         for k in range(1, n):
