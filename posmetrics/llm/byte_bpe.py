@@ -111,7 +111,7 @@ SELECT w, list(tok ORDER BY pos) AS ids FROM s WHERE tok IS NOT NULL GROUP BY w
 """
 
 DECODE = """
-SELECT doc, string_agg(v.chars, '' ORDER BY pos) AS chars
+SELECT doc, array_to_string(list(v.chars ORDER BY pos), '') AS chars
 FROM (SELECT doc, unnest(ids) AS id, generate_subscripts(ids, 1) AS pos FROM encoded) t
 JOIN vocabulary v ON v.id = t.id
 GROUP BY doc
