@@ -5,7 +5,9 @@ from __future__ import annotations
 import os
 import uuid
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
 from posmetrics.session import shared_root
@@ -62,6 +64,19 @@ def pieces(rows: list[str], characters: int):
         yield start, len(rows)
 
 
+def text_pieces(column: pa.Array, size: int):
+    """(start, end, texts) of consecutive rows of about so many bytes each; only one
+    piece at a time becomes Python strings."""
+    lengths = pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False)
+    ends = np.cumsum(lengths)
+    start = 0
+    while start < len(column):
+        before = ends[start - 1] if start else 0
+        end = max(start + 1, int(np.searchsorted(ends, before + size, "right")))
+        yield start, end, texts_of(column.slice(start, end - start))
+        start = end
+
+
 # --- files in the shared folder -----------------------------------------------------------
 
 
@@ -96,8 +111,6 @@ def write_bytes(uri: str, chunks) -> None:
 
 def map_array(uri: str, dtype):
     """A flat file as an array: memory-mapped where the store is mounted, else read."""
-    import numpy as np
-
     path = local_path(uri)
     if path is not None:
         return np.memmap(path, dtype=dtype, mode="r") if os.path.getsize(path) else np.zeros(0, dtype)

@@ -9,9 +9,10 @@ the point goes to one half, the other half draws its own. Large counts so cost t
 logarithm, and documents share the points of the counts they share.
 
 Registers are banded. Within a bucket short sketches estimate similarity, and only a
-spanning forest of the likely pairs is verified by exact multiset overlap of the texts;
-a second pass verifies the likely pairs that still lie in different classes. So a group of
-copies costs its size in pairs, and no link that would join two classes is left out.
+spanning forest of the likely pairs is verified by exact multiset overlap of the texts.
+What is still likely to join two classes is verified where the bucket is, on texts sent to
+it, so that pairs are never rows. A group of copies thus costs rows in proportion to its
+size, and no link that would join two classes is left out.
 Buckets beyond ``BLOCK`` members are compared block by block, each pair of blocks a task.
 
 Documents with equal words are one vertex from the start; classes are connected components.
@@ -31,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from posmetrics.llm.common import pieces, table, texts_of, written
+from posmetrics.llm.common import table, text_pieces, texts_of, written
 from posmetrics.llm.components import components
 from posmetrics.llm.words import mix, windows, words
 
@@ -41,7 +42,7 @@ BANDS, ROWS = 32, 6
 REGISTERS = BANDS * ROWS
 SLACK = 0.1  # how far a sketch's estimate may fall short: 3.5 deviations at LEAST
 BLOCK = 1024
-PIECE = 1_500_000
+PIECE = 800_000
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _MARGIN = 8.0  # the horizon leaves a register empty with probability exp(-8) / REGISTERS
 
@@ -158,9 +159,9 @@ def signed(docs: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts, ids = texts_of(batch.column("text")), batch.column("doc_id")
-            for start, end in pieces(texts, PIECE):
-                doc, hashes, counts, whole = shingles(texts[start:end])
+            ids = batch.column("doc_id")
+            for start, end, texts in text_pieces(batch.column("text"), PIECE):
+                doc, hashes, counts, whole = shingles(texts)
                 some = np.flatnonzero(whole)
                 if not len(some):
                     continue
@@ -211,72 +212,132 @@ def _likely(block: np.ndarray, size: np.ndarray, sketch: np.ndarray) -> tuple[np
     return np.concatenate(left), np.concatenate(right), np.concatenate(value)
 
 
-def _forest(n: int, a: np.ndarray, b: np.ndarray, e: np.ndarray) -> list[tuple[int, int]]:
-    """Pairs of a spanning forest, the likeliest first."""
-    parent = list(range(n))
+def _root(parent: list[int], x: int) -> int:
+    while parent[x] != x:
+        parent[x] = x = parent[parent[x]]
+    return x
 
-    def root(x: int) -> int:
-        while parent[x] != x:
-            parent[x] = x = parent[parent[x]]
-        return x
 
-    out = []
+def _forest(n: int, a: np.ndarray, b: np.ndarray, e: np.ndarray) -> list[tuple[int, int]]:
+    """Pairs of a spanning forest, the likeliest first."""
+    parent, out = list(range(n)), []
     for k in np.argsort(-e, kind="stable").tolist():
-        x, y = root(int(a[k])), root(int(b[k]))
+        x, y = _root(parent, int(a[k])), _root(parent, int(b[k]))
         if x != y:
             parent[x] = y
             out.append((int(a[k]), int(b[k])))
     return out
 
 
-def candidates(dealt: DataFrame, second: bool) -> DataFrame:
-    """Pairs ``a < b`` worth verifying from rows sorted by bucket and blocks. The first pass
-    gives a forest of each bucket, the second all likely pairs of different classes."""
+KEYS = ("bucket", "i", "j")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.RecordBatch] = []
-
-        def handle(part: pa.Table) -> Iterator[pa.RecordBatch]:
-            col = {n: part.column(n).to_numpy() for n in ("bucket", "i", "j", "block", "uid", "size", "class")}
-            raw = part.column("sketch").combine_chunks()
-            sketch = np.frombuffer(b"".join(raw.to_pylist()), np.uint8).reshape(len(part), REGISTERS // 2)
-            new = np.ones(len(part), bool)
-            new[1:] = np.any([col[n][1:] != col[n][:-1] for n in ("bucket", "i", "j")], axis=0)
-            start = np.append(np.flatnonzero(new), len(part))
-            pairs = set()
-            for s, t in zip(start[:-1].tolist(), start[1:].tolist()):
-                if t - s < 2 or (second and (col["class"][s:t] == col["class"][s]).all()):
-                    continue
-                a, b, e = _likely(col["block"][s:t], col["size"][s:t], sketch[s:t])
-                uid, kind = col["uid"][s:t], col["class"][s:t]
-                if second:
-                    apart = kind[a] != kind[b]
-                    chosen = zip(a[apart].tolist(), b[apart].tolist())
-                else:
-                    chosen = _forest(t - s, a, b, e)
-                for x, y in chosen:
-                    x, y = int(uid[x]), int(uid[y])
-                    pairs.add((min(x, y), max(x, y)))
-            if pairs:
-                a, b = (np.array(x, np.int64) for x in zip(*sorted(pairs)))
-                yield pa.RecordBatch.from_pydict({"a": a, "b": b})
 
-        for batch in batches:
-            held.append(batch)
-            last = batch.slice(batch.num_rows - 1)
-            key = [last.column(n)[0].as_py() for n in ("bucket", "i", "j")]
-            whole = pa.Table.from_batches(held)
-            same = np.all([whole.column(n).to_numpy() == k for n, k in zip(("bucket", "i", "j"), key)], axis=0)
-            cut = int(np.argmax(same))  # the last group may go on in the next batch
-            if cut:
-                yield from handle(whole.slice(0, cut))
-                held = whole.slice(cut).combine_chunks().to_batches()
-        if held:
-            yield from handle(pa.Table.from_batches(held))
+def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Table, int, int]]:
+    """Runs of equal bucket and blocks in sorted rows, as (table, start, end)."""
+    held: list[pa.RecordBatch] = []
+
+    def cut(part: pa.Table) -> Iterator[tuple[pa.Table, int, int]]:
+        new = np.ones(len(part), bool)
+        keys = [part.column(n).to_numpy() for n in KEYS]
+        new[1:] = np.any([k[1:] != k[:-1] for k in keys], axis=0)
+        start = np.append(np.flatnonzero(new), len(part)).tolist()
+        yield from ((part, s, t) for s, t in zip(start, start[1:]) if t - s > 1)
+
+    for batch in batches:
+        held.append(batch)
+        last = batch.slice(batch.num_rows - 1)
+        whole = pa.Table.from_batches(held)
+        same = np.all([whole.column(n).to_numpy() == last.column(n)[0].as_py() for n in KEYS], axis=0)
+        at = int(np.argmax(same))  # the last group may go on in the next batch
+        if at:
+            yield from cut(whole.slice(0, at))
+            held = whole.slice(at).combine_chunks().to_batches()
+    if held:
+        yield from cut(pa.Table.from_batches(held))
+
+
+def _bytes(column: pa.ChunkedArray) -> np.ndarray:
+    rows = column.to_pylist()
+    return np.frombuffer(b"".join(rows), np.uint8).reshape(len(rows), -1)
+
+
+def _likely_in(part: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    return _likely(part.column("block").to_numpy(), part.column("size").to_numpy(), _bytes(part.column("sketch")))
+
+
+def candidates(dealt: DataFrame) -> DataFrame:
+    """Pairs ``a < b`` worth verifying: a forest of the likely pairs of each bucket."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table, s, t in _groups(batches):
+            part = table.slice(s, t - s)
+            uid = part.column("uid").to_numpy()
+            pairs = np.array(_forest(t - s, *_likely_in(part)), np.int64).reshape(-1, 2)
+            if len(pairs):
+                ends = np.sort(uid[pairs], axis=1)
+                yield pa.RecordBatch.from_pydict({"a": ends[:, 0], "b": ends[:, 1]})
 
     return dealt.mapInArrow(run, "a long, b long").distinct()
 
 
+def contested(dealt: DataFrame) -> DataFrame:
+    """``bucket, i, j, uid`` of rows with a likely partner of another class."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table, s, t in _groups(batches):
+            part = table.slice(s, t - s)
+            kind = part.column("class").to_numpy()
+            if (kind == kind[0]).all():
+                continue
+            a, b, _ = _likely_in(part)
+            apart = kind[a] != kind[b]
+            some = np.unique(np.concatenate([a[apart], b[apart]]))
+            if len(some):
+                yield part.select([*KEYS, "uid"]).take(pa.array(some)).combine_chunks().to_batches()[0]
+
+    return dealt.mapInArrow(run, "bucket long, i int, j int, uid long")
+
+
+def joining(dealt: DataFrame) -> DataFrame:
+    """Links ``a, b`` that join two classes, verified within the bucket on the texts that
+    the rows carry. A pair is looked at in the first bucket that it shares only, and not
+    once its ends are joined."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table, s, t in _groups(batches):
+            part = table.slice(s, t - s)
+            uid, kind = part.column("uid").to_numpy(), part.column("class").to_numpy()
+            bucket = part.column("bucket")[0].as_py()
+            bands = np.array(part.column("bands").to_pylist(), np.int64)
+            a, b, e = _likely_in(part)
+            apart = kind[a] != kind[b]
+            a, b, e = a[apart], b[apart], e[apart]
+            _, node = np.unique(kind, return_inverse=True)
+            parent, bag, links = list(range(len(node))), {}, []
+            texts = part.column("text").to_pylist() if len(a) else []
+
+            def shingled(x: int):
+                if x not in bag:
+                    _, hashes, counts, _ = shingles([texts[x] or ""])
+                    bag[x] = hashes, counts
+                return bag[x]
+
+            for k in np.argsort(-e, kind="stable").tolist():
+                x, y = int(a[k]), int(b[k])
+                shared = bands[x] == bands[y]
+                if bands[x][int(np.argmax(shared))] != bucket:
+                    continue
+                p, q = _root(parent, int(node[x])), _root(parent, int(node[y]))
+                if p != q and overlap(shingled(x), shingled(y)) >= LEAST:
+                    parent[p] = q
+                    links.append((int(uid[x]), int(uid[y])))
+            if links:
+                first, second = zip(*links)
+                yield pa.RecordBatch.from_pydict({"a": np.array(first), "b": np.array(second)})
+
+    return dealt.mapInArrow(run, "a long, b long")
+
+
 def overlap(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> float:
     """Weighted Jaccard similarity of two multisets (sorted hashes, counts)."""
     _, i, j = np.intersect1d(a[0], b[0], assume_unique=True, return_indices=True)
@@ -326,41 +387,40 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     blocks = F.ceil(F.col("count") / F.lit(BLOCK)).cast("int")
     met = written(places.join(shared.select("bucket", blocks.alias("blocks")), "bucket"), "buckets")
     sketches = written(
-        vertex.select(F.col("doc_id").alias("uid"), "size", "sketch").join(
+        vertex.select(F.col("doc_id").alias("uid"), "size", "sketch", "bands").join(
             met.select("uid").distinct(), "uid", "left_semi"
         ),
         "sketches",
     )
+    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    dealt = (
+        met.withColumn("block", F.pmod(F.xxhash64("uid"), "blocks").cast("int"))
+        .withColumn("other", other)
+        .withColumns({"i": F.least("block", "other"), "j": F.greatest("block", "other")})
+        .select(*KEYS, "block", "uid")
+    )
+
+    def by_bucket(rows: DataFrame) -> DataFrame:
+        return rows.repartition(*KEYS).sortWithinPartitions(*KEYS, "uid")
 
-    def dealt(class_of: DataFrame | None) -> DataFrame:
-        known = sketches.withColumn("class", F.col("uid"))
-        if class_of is not None:
-            known = sketches.join(class_of.withColumnsRenamed({"id": "uid"}), "uid", "left").withColumn(
-                "class", F.coalesce("component", "uid")
-            )
-        other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-        return (
-            met.join(known, "uid")
-            .withColumn("block", F.pmod(F.xxhash64("uid"), "blocks").cast("int"))
-            .withColumn("other", other)
-            .withColumns({"i": F.least("block", "other"), "j": F.greatest("block", "other")})
-            .select("bucket", "i", "j", "block", "uid", "size", "class", "sketch")
-            .repartition("bucket", "i", "j")
-            .sortWithinPartitions("bucket", "i", "j", "uid")
-        )
-
-    first = written(candidates(dealt(None), second=False), "pairs")
-    # whole texts are read again only for documents in a pair
+    first = written(candidates(by_bucket(dealt.join(sketches.drop("bands"), "uid"))), "pairs")
+    # Whole texts are read again only for documents in a pair. The join shuffles at every
+    # size: which documents these are grows with the table.
     ends = first.select(F.col("a").alias("uid")).unionAll(first.select(F.col("b").alias("uid"))).distinct()
-    texts = rows.withColumnRenamed("doc_id", "uid").join(ends, "uid", "left_semi").dropDuplicates(["uid"])
+    texts = written(
+        rows.withColumnRenamed("doc_id", "uid").hint("merge").join(ends.hint("merge"), "uid", "left_semi").dropDuplicates(["uid"]),
+        "texts",
+    )
     links = written(verified(first, texts), "links")
-    class_of = components(links)
-    more = written(candidates(dealt(class_of), second=True).join(first, ["a", "b"], "left_anti"), "pairs")
-    if not more.isEmpty():
-        ends = more.select(F.col("a").alias("uid")).unionAll(more.select(F.col("b").alias("uid"))).distinct()
-        texts = rows.withColumnRenamed("doc_id", "uid").join(ends, "uid", "left_semi").dropDuplicates(["uid"])
-        links = links.unionAll(written(verified(more, texts), "links"))
-        class_of = components(links)
+    told = (
+        sketches.join(components(links).withColumnRenamed("id", "uid"), "uid", "left")
+        .withColumn("class", F.coalesce("component", "uid"))
+        .drop("component")
+    )
+    open_rows = written(contested(by_bucket(dealt.join(told.drop("bands"), "uid"))), "contested")
+    # the ends of a likely pair are in the forest of its bucket, so their texts are at hand
+    carried = dealt.join(open_rows, [*KEYS, "uid"], "left_semi").join(told, "uid").join(texts, "uid")
+    class_of = components(links.unionAll(written(joining(by_bucket(carried)), "joining")))
     named = equal.join(class_of.withColumnRenamed("id", "uid"), "uid", "left").select(
         "whole", "size", F.coalesce("component", "uid").alias("class_id")
     )
