@@ -23,14 +23,22 @@ class MetricGroup:
     def _sales(self, window: DateWindow = ALWAYS, store_id: str | None = None) -> DataFrame:
         return of_store(valid_sales(self.tables.receipts(window)), store_id)
 
-    def _sold_lines(self, window: DateWindow = ALWAYS, store_id: str | None = None) -> DataFrame:
-        """Line items of valid sales, with the receipt's number and date.
+    def _sold_lines(
+        self,
+        window: DateWindow = ALWAYS,
+        store_id: str | None = None,
+        lines_of: DataFrame | None = None,
+    ) -> DataFrame:
+        """Line items of valid sales, with the receipt's number and date; only those of
+        the variants ``lines_of``, if given.
 
         Receipts are cut down to two columns and filtered before the join; a hot
         receipt is split by the adaptive skew join.
         """
         sales = self._sales(window, store_id).select("receipt_number", "receipt_date")
         lines = self.tables.line_items(window).drop("receipt_date", "receipt_month")
+        if lines_of is not None:
+            lines = lines.join(lines_of, "variant_id", "left_semi")
         return lines.join(sales, lines.receipt_id == sales.receipt_number)
 
     def _names(self, table: str, key: str, name: str) -> DataFrame:
@@ -38,14 +46,14 @@ class MetricGroup:
         return self.tables.table(table).select(F.col("id").alias(key), F.col("name").alias(name))
 
     def _with_category(self, lines: DataFrame) -> DataFrame:
-        """Inner join to items, left join to categories."""
+        """Inner join to the items, which have got their categories' names first: lines
+        are joined once, on the item, and never meet on a few hot categories."""
         items = self.tables.table("items").select(F.col("id").alias("item_id"), "category_id")
         categories = self._names("categories", "category_id", "category")
-        return (
-            lines.join(items, "item_id")
-            .join(categories, "category_id", "left")
-            .withColumn("category", F.coalesce("category", F.lit("Uncategorised")))
+        named = items.join(categories, "category_id", "left").select(
+            "item_id", F.coalesce("category", F.lit("Uncategorised")).alias("category")
         )
+        return lines.join(named, "item_id")
 
 
 def grouped_with_distinct(

@@ -125,12 +125,6 @@ class Inventory(MetricGroup):
         limits = self.tables.table("variant_store").select(
             "variant_id", "store_id", "low_stock_threshold"
         )
-        last_sold = (
-            self._sold_lines()
-            .filter(F.col("variant_id").isNotNull())
-            .groupBy("variant_id")
-            .agg(F.max("receipt_date").alias("last_sold"))
-        )
         low = (
             self._stock(store_id)
             .join(limits, ["variant_id", "store_id"], "left")
@@ -139,6 +133,12 @@ class Inventory(MetricGroup):
             )
             .filter(F.col("in_stock") <= F.col("alert_threshold"))
         )
+        # only lines of low variants go on to meet the receipts
+        last_sold = (
+            self._sold_lines(lines_of=low.select("variant_id").distinct())
+            .groupBy("variant_id")
+            .agg(F.max("receipt_date").alias("last_sold"))
+        )
         return (
             self._described_stock(low)
             .join(self._names("stores", "store_id", "store_name"), "store_id", "left")

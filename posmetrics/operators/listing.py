@@ -13,9 +13,6 @@ from posmetrics.functions.period import as_ntz
 from posmetrics.operators.base import MetricGroup
 from posmetrics.sources.schemas import TABLES
 
-# Longer id lists are joined rather than written into the predicate.
-INLINE_IDS = 500
-
 
 def parse_day(word: str, today: date, end_of_day: bool = False) -> datetime | str:
     """today, yesterday or YYYY-MM-DD as a moment; a full ISO time passes through."""
@@ -78,7 +75,7 @@ class Listing(MetricGroup):
         self,
         table: str,
         *,
-        limit: int | None = 250,
+        limit: int | None = None,
         created_at_min: datetime | None = None,
         created_at_max: datetime | None = None,
         updated_at_min: datetime | None = None,
@@ -88,7 +85,7 @@ class Listing(MetricGroup):
         equals: dict[str, object] | None = None,
         where: Column | None = None,
     ) -> DataFrame:
-        """Rows of ``table``, newest first.
+        """All matching rows of ``table``, newest first; at most ``limit`` if one is given.
 
         Bounds are inclusive. ``ids`` maps a column to a comma-separated text, a
         list or a one-column DataFrame; ``equals`` maps columns to values; ``where``
@@ -144,7 +141,7 @@ class Listing(MetricGroup):
         since: str | None = None,
         before: str | None = None,
         sort_order: str = "desc",
-        limit: int | None = 250,
+        limit: int | None = None,
         **options,
     ) -> DataFrame:
         """Receipts after one receipt number and before another, both exclusive."""
@@ -198,10 +195,7 @@ def _with_ids(df: DataFrame, column: str, wanted) -> DataFrame:
     if isinstance(wanted, str):
         wanted = wanted.split(",")
     values = sorted({w.strip() for w in wanted} - {""})
-    if len(values) <= INLINE_IDS:
-        return df.filter(F.col(column).isin(*values))
-    asked = df.sparkSession.createDataFrame([(v,) for v in values], f"{column} string")
-    return df.join(asked, column, "left_semi")
+    return df.filter(F.col(column).isin(*values))
 
 
 def _newest_first(df: DataFrame, key: tuple[str, ...], limit: int | None) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from posmetrics.functions.money import amount, rnd, share_of_total, total
+from posmetrics.functions.money import amount, exact_sum, rnd, share_of_total
 from posmetrics.operators.base import MetricGroup, grouped_with_distinct
 
 
@@ -94,9 +94,12 @@ class Products(MetricGroup):
     def category_mix_trend(self, days=90, date_start=None, date_end=None) -> DataFrame:
         """month, category, revenue."""
         lines = self._sold_lines(self._window(days, date_start, date_end))
+        month = F.trunc(F.to_date("receipt_date"), "month").alias("month")
+        # summed per item before the dimensions are joined
+        per_item = lines.groupBy(month, "item_id").agg(exact_sum("total_money").alias("_revenue"))
         return (
-            self._with_category(lines)
-            .groupBy(F.trunc(F.to_date("receipt_date"), "month").alias("month"), "category")
-            .agg(rnd(total("total_money"), 2).alias("revenue"))
+            self._with_category(per_item)
+            .groupBy("month", "category")
+            .agg(rnd(amount(F.sum("_revenue")), 2).alias("revenue"))
             .orderBy(F.desc("month"), F.desc("revenue"), "category")
         )

@@ -18,6 +18,8 @@ from posmetrics.sources.schemas import MONTH, TABLES
 
 DEFAULT_ZONE = "Asia/Manila"
 ERRORS = "_errors"
+# text and kind (record or page) of what a row was made of; names of fields of a wrong type
+BODY, KIND, TYPES = "_body", "_kind", "_types"
 
 _STORE_SETTINGS = (
     "store_id STRING, available_for_sale BOOLEAN, optimal_stock DOUBLE, low_stock_threshold DOUBLE"
@@ -25,50 +27,96 @@ _STORE_SETTINGS = (
 
 
 def _parsed(pages: DataFrame, spec: Resource, column: str) -> DataFrame:
+    """Every page with its records as JSON texts; no list where there is none."""
     if spec.items_key is None:
-        record = F.from_json(column, spec.record_ddl)
-        # text that is no JSON object leaves every field empty
-        one = F.when(F.get_json_object(column, "$").startswith("{"), F.array(record))
+        # text that is no JSON object is no record
+        one = F.when(F.get_json_object(column, "$").startswith("{"), F.array(column))
         return pages.select(F.col(column).alias("page"), one.alias("records"))
-    schema = f"{spec.items_key} ARRAY<STRUCT<{spec.record_ddl}>>, cursor STRING"
-    items = F.from_json(column, schema)[spec.items_key]
+    items = F.from_json(column, f"{spec.items_key} ARRAY<STRING>, cursor STRING")[spec.items_key]
     return pages.select(F.col(column).alias("page"), items.alias("records"))
 
 
-def records(pages: DataFrame, resource: str, column: str = "value") -> DataFrame:
-    """One row per record of every readable page."""
+def _exploded(pages: DataFrame, resource: str, column: str) -> DataFrame:
+    """One row per record, and one per unreadable page, which has only its text."""
     parsed = _parsed(pages, RESOURCES[resource], column)
     # the outer form: an inner explode would parse every page again to filter it first
-    exploded = parsed.select(F.explode_outer("records").alias("r"))
-    return exploded.filter(F.col("r").isNotNull()).select("r.*")
+    each = parsed.select("page", F.col("records").isNull().alias("_bare"), F.posexplode_outer("records"))
+    told = each.filter(F.col("_bare") | F.col("pos").isNotNull())
+    kind = F.when(F.col("_bare"), "page").otherwise("record")
+    text = F.when(F.col("_bare"), F.col("page")).otherwise(F.coalesce("col", F.lit("null")))
+    record = F.from_json("col", RESOURCES[resource].record_ddl)
+    return told.select(kind.alias(KIND), text.alias(BODY), record.alias("r")).select(KIND, BODY, "r.*")
+
+
+def records(pages: DataFrame, resource: str, column: str = "value") -> DataFrame:
+    """One row per record of every readable page; times are text, numbers typed."""
+    each = _exploded(pages, resource, column).filter((F.col(KIND) == "record") & F.col(BODY).startswith("{"))
+    spec, out = RESOURCES[resource], {}
+    for field in TABLES[resource].schema.fields:
+        name = {column: raw for raw, column in spec.renames.items()}.get(field.name, field.name)
+        if isinstance(field.dataType, (T.NumericType, T.BooleanType)):
+            out[name] = _typed(F.col(name), field.dataType, DEFAULT_ZONE)[0]
+    return each.withColumns(out).drop(KIND, BODY)
+
+
+def _why_unreadable(resource: str, page: str) -> Column:
+    return F.when(F.get_json_object(page, "$").isNull(), F.lit("not a JSON object")).otherwise(
+        F.lit(f"no list '{RESOURCES[resource].items_key}'")
+    )
 
 
 def unreadable(pages: DataFrame, resource: str, column: str = "value") -> DataFrame:
     """Pages that are no JSON or lack the list of records."""
     parsed = _parsed(pages, RESOURCES[resource], column).filter(F.col("records").isNull())
-    reason = F.when(
-        F.get_json_object("page", "$").isNull(), F.lit("not a JSON object")
-    ).otherwise(F.lit(f"no list '{RESOURCES[resource].items_key}'"))
-    return parsed.select("page", reason.alias("reason"))
+    return parsed.select("page", _why_unreadable(resource, "page").alias("reason"))
+
+
+def _number(text: Column, kind: T.DataType) -> Column:
+    """Text as a number of that type; whole numbers may be written with a fraction of 0."""
+    number = text.try_cast("double")
+    if isinstance(kind, T.IntegralType):
+        return F.coalesce(text.try_cast(kind), F.when(number == F.floor(number), number).cast(kind))
+    return number
+
+
+def _typed(text: Column, kind: T.DataType, zone: str) -> tuple[Column, str | None]:
+    """A scalar of that type, and what a text that is none is called."""
+    if isinstance(kind, T.TimestampNTZType):
+        return to_zone(text, zone), "no time"
+    if isinstance(kind, T.NumericType):
+        return _number(text, kind), "no number"
+    if isinstance(kind, T.BooleanType):
+        return text.try_cast("boolean"), "neither true nor false"
+    return text, None
 
 
 def clean(
     raw: DataFrame, resource: str, now: datetime | None = None, zone: str = DEFAULT_ZONE
 ) -> DataFrame:
-    """Rename, default, tidy and type every column; arrays stay for the split."""
+    """Rename, type, tidy and default every column; arrays stay for the split.
+
+    A text that is not of its field's type gives NULL, no default, and is named in
+    ``_types``.
+    """
     spec = RESOURCES[resource]
     back = {column: name for name, column in spec.renames.items()}
-    loaded = as_ntz(now) if now else F.localtimestamp()
-    out = []
+    loaded = as_ntz(now) if now else F.convert_timezone(None, F.lit(zone), F.localtimestamp())
+    out, wrong = [], []
     for field in TABLES[resource].schema.fields:
         name = field.name
         c = F.col(back.get(name, name))
         if (resource, name) == ("merchant", "currency"):
             c = c["code"]
+        given = c
+        c, what = _typed(given, field.dataType, zone)
+        odd = F.lit(False)
+        if what:
+            blank = F.trim(given).isin("", "null") if what == "no time" else F.lit(False)
+            odd = given.isNotNull() & ~blank & c.isNull()
+            wrong.append(F.when(odd, F.lit(f"{name} is {what}")))
         if isinstance(field.dataType, T.TimestampNTZType):
-            c = to_zone(c, zone)
             if name in spec.stamped:
-                c = F.coalesce(c, loaded)
+                c = F.when(odd, c).otherwise(F.coalesce(c, loaded))
         elif name == "id" or name.endswith("_id"):
             c = id_text(c)
         if name in spec.tidy:
@@ -78,19 +126,22 @@ def clean(
         if name in spec.upper:
             c = F.upper(c)
         if name in spec.defaults:
-            c = F.coalesce(c, F.lit(spec.defaults[name]))
+            c = F.when(odd, c).otherwise(F.coalesce(c, F.lit(spec.defaults[name])))
         if (resource, name) == ("items", "handle"):
             c = F.coalesce(c, F.col("item_name"))
         if (resource, name) == ("receipts", "id"):
             c = F.coalesce(c, F.col("receipt_number"))
         out.append(c.alias(name))
     arrays = [x.array for x in (*spec.links, *spec.nested)]
-    return raw.select(*out, *arrays)
+    kept = [x for x in (KIND, BODY) if x in raw.columns]
+    return raw.select(*out, *arrays, F.array_compact(F.array(*wrong)).alias(TYPES), *kept)
 
 
 def _rules(resource: str) -> dict[str, Column]:
     spec = RESOURCES[resource]
-    rules = {f"{c} missing": F.col(c).isNull() for c in spec.required}
+    # a field of a wrong type is not missing, and has been named already
+    odd = lambda c: F.exists(TYPES, lambda t: t.startswith(f"{c} is "))
+    rules = {f"{c} missing": F.col(c).isNull() & ~odd(c) for c in spec.required}
     for c, most in spec.lengths.items():
         rules[f"{c} longer than {most}"] = F.length(c) > most
     for c, (low, high) in spec.ranges.items():
@@ -105,19 +156,46 @@ def _rules(resource: str) -> dict[str, Column]:
 def check(cleaned: DataFrame, resource: str) -> DataFrame:
     """Add the names of all broken rules; an empty array marks a valid record."""
     broken = [F.when(bad, F.lit(rule)) for rule, bad in _rules(resource).items()]
-    return cleaned.withColumn(ERRORS, F.array_compact(F.array(*broken)))
+    found = F.concat(F.col(TYPES), F.array_compact(F.array(*broken)))
+    if KIND in cleaned.columns:
+        found = (
+            F.when(F.col(KIND) == "page", F.array(_why_unreadable(resource, BODY)))
+            .when(~F.col(BODY).startswith("{"), F.array(F.lit("not an object")))
+            .otherwise(found)
+        )
+    return cleaned.withColumn(ERRORS, found).drop(TYPES)
+
+
+def judged(
+    pages: DataFrame,
+    resource: str,
+    now: datetime | None = None,
+    zone: str = DEFAULT_ZONE,
+    column: str = "value",
+) -> DataFrame:
+    """Cleaned and checked records, and unreadable pages, from one parse of the pages."""
+    return check(clean(_exploded(pages, resource, column), resource, now, zone), resource)
+
+
+def accepted(judged: DataFrame) -> DataFrame:
+    """The valid records."""
+    return judged.filter(F.size(ERRORS) == 0).drop(ERRORS, KIND, BODY)
+
+
+def refused(judged: DataFrame) -> DataFrame:
+    """kind, body, reasons of the records and pages that are left out."""
+    return judged.filter(F.size(ERRORS) > 0).select(
+        F.col(KIND).alias("kind"), F.col(BODY).alias("body"), F.array_join(ERRORS, "; ").alias("reasons")
+    )
 
 
 def valid(checked: DataFrame) -> DataFrame:
-    return checked.filter(F.size(ERRORS) == 0).drop(ERRORS)
+    return accepted(checked)
 
 
 def rejected(checked: DataFrame) -> DataFrame:
-    """Records with broken rules, as JSON, with their reasons."""
-    body = F.struct(*(c for c in checked.columns if c != ERRORS))
-    return checked.filter(F.size(ERRORS) > 0).select(
-        F.to_json(body).alias("record"), F.array_join(ERRORS, "; ").alias("reasons")
-    )
+    """Records with broken rules, as they came, with their reasons."""
+    return refused(checked).filter("kind = 'record'").select(F.col("body").alias("record"), "reasons")
 
 
 def prepared(
@@ -128,7 +206,7 @@ def prepared(
     column: str = "value",
 ) -> DataFrame:
     """Cleaned and checked records of all readable pages."""
-    return check(clean(records(pages, resource, column), resource, now, zone), resource)
+    return judged(pages, resource, now, zone, column).filter(F.col(KIND) == "record")
 
 
 def split(good: DataFrame, resource: str, zone: str = DEFAULT_ZONE) -> dict[str, DataFrame]:

@@ -57,11 +57,12 @@ class Resource:
 
     @property
     def record_ddl(self) -> str:
-        """The raw record: times are text, arrays as they come."""
+        """The raw record: scalars are text, so that a wrong type can be told; arrays as
+        they come."""
         back = {column: raw for raw, column in self.renames.items()}
         parts = []
         for f in TABLES[self.name].schema.fields:
-            kind = "STRING" if f.dataType.typeName().startswith("timestamp") else f.dataType.simpleString()
+            kind = "STRING"
             if (self.name, f.name) == ("merchant", "currency"):
                 kind = "STRUCT<code: STRING>"
             parts.append(f"{back.get(f.name, f.name)} {kind}")

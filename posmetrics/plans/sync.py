@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass, field
 from datetime import datetime
+from zoneinfo import ZoneInfo
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -12,9 +13,10 @@ from pyspark.sql import functions as F
 from posmetrics.functions.period import as_ntz
 from posmetrics.operators.listing import check_range
 from posmetrics.plans import intake
-from posmetrics.plans.warehouse import Warehouse, resources_in_order
+from posmetrics.plans.warehouse import Merged, Warehouse, resources_in_order
 from posmetrics.sources.landing import Landing
 from posmetrics.sources.schemas import TABLES
+from posmetrics.streaming.continuous import follow
 
 
 class LoadError(RuntimeError):
@@ -25,6 +27,8 @@ class LoadError(RuntimeError):
 class SyncReport:
     counts: dict[str, int] = field(default_factory=dict)
     errors: dict[str, str] = field(default_factory=dict)
+    rejected: dict[str, int] = field(default_factory=dict)
+    unreadable: dict[str, int] = field(default_factory=dict)
 
 
 class Loader:
@@ -67,35 +71,45 @@ class Loader:
         ``bounds``: created_at_min, created_at_max, updated_at_min, updated_at_max,
         all inclusive.
         """
-        counts, marks = {}, {}
+        counts, newest = {}, {}
         for resource in resources_in_order(resources):
             try:
-                counts[resource], marks[resource] = self._merge(resource, bounds)
+                counts[resource], newest[resource] = self._merge(resource, bounds)
             except Exception as error:
                 raise LoadError(f"{resource} could not be loaded: {error}") from error
-        self._record(counts, marks, "full")
+        self._record(counts, newest, "window" if bounds else "full")
         return counts
 
     def sync(self, resources: list[str] | None = None) -> SyncReport:
-        """Merge what changed since each resource's last sync.
+        """Merge the page files that no sync has read yet.
 
-        A resource never synced is loaded in full. One failure does not stop the
-        others, and a failed resource keeps its mark, so nothing is skipped later.
+        Files are remembered by the progress of a stream that reads what is there and
+        stops; what is inside them plays no part. Pages may land in any order, lack their
+        times, or be older than a load by hand: the upsert settles versions. The first
+        sync of a resource reads all its files. One failure does not stop the others,
+        and the files of a failed resource stay unread.
         """
-        last = self.last_syncs()
-        report, marks, kinds = SyncReport(), {}, {}
+        before = self.last_syncs()
+        report, newest, kinds = SyncReport(), {}, {}
         ordered = resources_in_order(resources)
         for resource in ordered:
-            bounds = {"updated_at_min": last[resource]} if last.get(resource) else {}
+            done = Merged()
             try:
-                report.counts[resource], marks[resource] = self._merge(resource, bounds)
-                kinds[resource] = "incremental" if bounds else "full"
+                follow(
+                    self.warehouse, self.landing, resource, zone=self.zone, now=self.now, on_batch=done.add
+                ).awaitTermination()
             except Exception as error:
                 report.errors[resource] = str(error)
+                continue
+            report.counts[resource], newest[resource] = done.records, done.newest
+            report.rejected[resource], report.unreadable[resource] = done.rejected, done.unreadable
+            kinds[resource] = "incremental" if resource in before else "full"
+            if self.on_progress:
+                self.on_progress(resource, done.records)
         if ordered and len(report.errors) == len(ordered):
             raise LoadError("not one resource could be synced")
         for kind in ("full", "incremental"):
-            self._record({r: n for r, n in report.counts.items() if kinds[r] == kind}, marks, kind)
+            self._record({r: n for r, n in report.counts.items() if kinds[r] == kind}, newest, kind)
         return report
 
     def sync_metadata(self) -> DataFrame:
@@ -109,21 +123,29 @@ class Loader:
         return {r.resource_name: r.last_sync_at for r in self.sync_metadata().collect()}
 
     def _merge(self, resource: str, bounds: dict) -> tuple[int, datetime | None]:
-        good = restrict(intake.valid(self.prepared(resource)), resource, **bounds)
-        count, mark = self.warehouse.upsert(resource, good, self.zone)
+        restrict_check(**bounds)
+        done = self.warehouse.merge(
+            resource,
+            self.landing.pages(resource),
+            "full",
+            self.now,
+            self.zone,
+            lambda good: restrict(good, resource, **bounds),
+        )
         if self.on_progress:
-            self.on_progress(resource, count)
-        return count, mark
+            self.on_progress(resource, done.records)
+        return done.records, done.newest
 
-    def _record(self, counts: dict[str, int], marks: dict, kind: str) -> None:
-        """The mark is the newest change seen, not the clock: nothing falls in between."""
+    def _record(self, counts: dict[str, int], newest: dict, kind: str) -> None:
+        """Note the newest change seen, for people to read; no load is filtered by it.
+        Where none has been seen it is the time of the load, in the zone of the tables."""
         if not counts:
             return
         before = self.last_syncs()
-        clock = self.now or datetime.now()
+        clock = self.now or datetime.now(ZoneInfo(self.zone)).replace(tzinfo=None)
         rows = []
         for resource, n in counts.items():
-            seen = [m for m in (marks.get(resource), before.get(resource)) if m]
+            seen = [m for m in (newest.get(resource), before.get(resource)) if m]
             rows.append((resource, max(seen) if seen else clock, n, kind))
         schema = TABLES["sync_metadata"].schema
         self.warehouse.upsert(
@@ -131,6 +153,11 @@ class Loader:
         )
 
 
+def restrict_check(created_at_min=None, created_at_max=None, updated_at_min=None, updated_at_max=None) -> None:
+    check_range(created_at_min, created_at_max, "created_at")
+    check_range(updated_at_min, updated_at_max, "updated_at")
+
+
 def restrict(
     df: DataFrame,
     resource: str,
@@ -140,8 +167,7 @@ def restrict(
     updated_at_max: datetime | None = None,
 ) -> DataFrame:
     """Inclusive bounds; those on a column the resource lacks are ignored."""
-    check_range(created_at_min, created_at_max, "created_at")
-    check_range(updated_at_min, updated_at_max, "updated_at")
+    restrict_check(created_at_min, created_at_max, updated_at_min, updated_at_max)
     for column, low, high in (
         ("created_at", created_at_min, created_at_max),
         ("updated_at", updated_at_min, updated_at_max),

@@ -8,6 +8,9 @@ and repeating a load gives the same tables.
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Callable
+from dataclasses import dataclass
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -23,6 +26,25 @@ from posmetrics.sources.tables import Tables
 _STORED_IN = "_stored_in"
 
 
+REJECTS = "load STRING, kind STRING, body STRING, reasons STRING"
+
+
+@dataclass
+class Merged:
+    """What one batch of pages came to."""
+
+    records: int = 0
+    rejected: int = 0
+    unreadable: int = 0
+    newest: datetime | None = None
+
+    def add(self, other: Merged) -> None:
+        self.records += other.records
+        self.rejected += other.rejected
+        self.unreadable += other.unreadable
+        self.newest = max((m for m in (self.newest, other.newest) if m), default=None)
+
+
 class Warehouse(Tables):
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
@@ -38,9 +60,12 @@ class Warehouse(Tables):
         path = jvm.org.apache.hadoop.fs.Path(self.root)
         return jvm, path.getFileSystem(self.spark._jsc.hadoopConfiguration())
 
-    def has_table(self, table: str) -> bool:
+    def _exists(self, path: str) -> bool:
         jvm, fs = self._file_system()
-        return fs.exists(jvm.org.apache.hadoop.fs.Path(self.path(table)))
+        return fs.exists(jvm.org.apache.hadoop.fs.Path(path))
+
+    def has_table(self, table: str) -> bool:
+        return self._exists(self.path(table))
 
     def list_tables(self) -> list[str]:
         return [t for t in TABLES if self.has_table(t)]
@@ -91,6 +116,41 @@ class Warehouse(Tables):
 
     # writing
 
+    def rejects(self, resource: str) -> DataFrame:
+        """What loads of a resource left out: load, kind (record or page), body, reasons."""
+        path = f"{self.root}/_rejected/{resource}"
+        if not self._exists(path):
+            return self.spark.createDataFrame([], REJECTS)
+        return self.spark.read.schema(REJECTS).option("recursiveFileLookup", "true").parquet(path)
+
+    def merge(
+        self,
+        resource: str,
+        pages: DataFrame,
+        load: str,
+        now: datetime | None = None,
+        zone: str = intake.DEFAULT_ZONE,
+        keep: Callable[[DataFrame], DataFrame] = lambda df: df,
+    ) -> Merged:
+        """Upsert the valid records of ``pages`` and keep what is refused under the name of
+        the load, replacing what an earlier try of it kept. Pages are parsed once.
+
+        ``keep`` restricts the valid records.
+        """
+        staging = f"{self.root}/_staging/{uuid.uuid4().hex}"
+        try:
+            intake.judged(pages, resource, now, zone).write.parquet(staging)
+            judged = self.spark.read.parquet(staging)
+            bad = intake.refused(judged).withColumn("load", F.lit(load))
+            counted = {r["kind"]: r["n"] for r in bad.groupBy("kind").agg(F.count("*").alias("n")).collect()}
+            place = f"{self.root}/_rejected/{resource}/{load}"
+            if counted or self._exists(place):
+                bad.select("load", "kind", "body", "reasons").write.mode("overwrite").parquet(place)
+            count, newest = self.upsert(resource, keep(intake.accepted(judged)), zone)
+        finally:
+            self._delete(staging)
+        return Merged(count, counted.get("record", 0), counted.get("page", 0), newest)
+
     def upsert(
         self, resource: str, records: DataFrame, zone: str = intake.DEFAULT_ZONE
     ) -> tuple[int, datetime | None]:
@@ -101,8 +161,8 @@ class Warehouse(Tables):
         of records written and the newest ``updated_at`` among them.
         """
         spec = TABLES[resource]
-        staging = f"{self.root}/_staging/{resource}"
-        self._stage(spec, records).write.mode("overwrite").parquet(staging)
+        staging = f"{self.root}/_staging/{uuid.uuid4().hex}"  # never that of another writer
+        self._stage(spec, records).write.parquet(staging)
         staged = self.spark.read.parquet(staging)
 
         newest = F.max("updated_at") if "updated_at" in spec.columns else F.lit(None)
@@ -163,7 +223,7 @@ class Warehouse(Tables):
                 owners = parents.toDF(spec.owner).select(_bucket(spec).alias(BUCKET))
                 touched = list(_values(owners, BUCKET))
         key = [spec.owner] if spec.owner else list(spec.key)
-        rows = rows.dropDuplicates(list(spec.key)) if spec.may_repeat else rows
+        rows = _first_of_each(spec, rows) if spec.may_repeat else rows
         kept = (
             self.stored(spec.name)
             .filter(_is_one_of(spec.partition, touched))
@@ -202,6 +262,15 @@ class Warehouse(Tables):
         return result
 
 
+def _first_of_each(spec: TableSpec, rows: DataFrame) -> DataFrame:
+    """One row of each key within its parent, the least by a hash of its content, so that
+    the choice does not depend on the batch; rows without an id all stay."""
+    content = F.xxhash64(*spec.columns)
+    number = F.row_number().over(Window.partitionBy(*spec.key).orderBy(content))
+    named = F.col(spec.key[-1]).isNotNull()
+    return rows.withColumn("_n", F.when(named, number).otherwise(1)).filter("_n = 1").drop("_n")
+
+
 def _bucket(spec: TableSpec) -> Column:
     return F.pmod(F.xxhash64(spec.bucket_key), F.lit(spec.buckets)).cast("int")
 

@@ -29,8 +29,9 @@ def configure(spark: SparkSession) -> SparkSession:
 def shared_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    Only when the session names none (tests, a laptop) is a fresh local folder
-    chosen, once per application.
+    Only where the session names none and driver and executors are one machine (tests,
+    a laptop) is a fresh local folder chosen, once per application. Elsewhere that is
+    an error: executors would write to disks that nobody else sees.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     context = spark.sparkContext
@@ -39,6 +40,8 @@ def shared_root(spark: SparkSession) -> str:
             context.setCheckpointDir(named)
         return named.rstrip("/")
     if context.getCheckpointDir() is None:
+        if not context.master.startswith("local[") and context.master != "local":
+            raise ValueError("name a folder that all executors share in spark.checkpoint.dir")
         context.setCheckpointDir(tempfile.mkdtemp(prefix="posmetrics-"))
     return context.getCheckpointDir().rstrip("/")
 

@@ -19,7 +19,8 @@ class Landing:
         return self.spark.read.text(self.path(resource), wholetext=self.whole_files)
 
     def page_stream(self, resource: str, files_per_batch: int | None = None) -> DataFrame:
-        reader = self.spark.readStream
+        # a file counts by its name, however old its time stamp is
+        reader = self.spark.readStream.option("maxFileAge", "36500d")
         if files_per_batch:
             reader = reader.option("maxFilesPerTrigger", files_per_batch)
         return reader.text(self.path(resource), wholetext=self.whole_files)

@@ -34,10 +34,8 @@ class TableSpec:
 
     @property
     def may_repeat(self) -> bool:
-        """Whether one batch can hold a key twice; elsewhere the split rules it out."""
-        return self.owner is not None and (
-            self.owner not in self.key or self.name == "variant_store"
-        )
+        """Whether one record can hold a key twice; elsewhere the split rules it out."""
+        return self.owner is not None and len(self.columns) > len(self.key) and "position" not in self.key
 
     @property
     def bucket_key(self) -> str:
@@ -173,7 +171,7 @@ TABLES: dict[str, TableSpec] = {
             "variant_name STRING, sku STRING, quantity DOUBLE, price DOUBLE, "
             "gross_total_money DOUBLE, total_money DOUBLE, cost DOUBLE, cost_total DOUBLE, "
             "line_note STRING, total_discount DOUBLE",
-            ("id",),
+            ("receipt_id", "id"),
             owner="receipt_id",
             by_month=True,
         ),
@@ -189,28 +187,28 @@ TABLES: dict[str, TableSpec] = {
         TableSpec(
             "modifier_options",
             f"id STRING, modifier_id STRING, name STRING, price DOUBLE, position INT, {_AUDIT}",
-            ("id",),
+            ("modifier_id", "id"),
             owner="modifier_id",
             buckets=16,
         ),
         TableSpec(
             "shift_taxes",
             "id STRING, shift_id STRING, name STRING, rate DOUBLE, amount DOUBLE",
-            ("id",),
+            ("shift_id", "id"),
             owner="shift_id",
             buckets=16,
         ),
         TableSpec(
             "shift_payments",
             "id STRING, shift_id STRING, name STRING, amount DOUBLE",
-            ("id",),
+            ("shift_id", "id"),
             owner="shift_id",
             buckets=16,
         ),
         TableSpec(
             "shift_cash_movements",
             "id STRING, shift_id STRING, time TIMESTAMP, amount DOUBLE, note STRING",
-            ("id",),
+            ("shift_id", "id"),
             owner="shift_id",
             buckets=16,
         ),

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import datetime
 
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from posmetrics.plans import intake
-from posmetrics.plans.warehouse import Warehouse
+from posmetrics.plans.warehouse import Merged, Warehouse
 from posmetrics.sources.landing import Landing
 
 
@@ -21,17 +22,20 @@ def follow(
     now: datetime | None = None,
     files_per_batch: int | None = None,
     available_now: bool = True,
+    on_batch: Callable[[Merged], None] | None = None,
 ) -> StreamingQuery:
     """Start merging the pages of one resource.
 
     The stream's own checkpoint remembers which files were read. A batch that is
     replayed after a failure replaces rows by themselves, and a page that arrives
-    late cannot undo a newer one, so the tables end up as after one full load.
+    late cannot undo a newer one, so the tables end up as after one full load. Rejected
+    records and unreadable pages are kept by batch, so a replay does not repeat them.
     """
 
     def merge(pages: DataFrame, batch_id: int) -> None:
-        good = intake.valid(intake.prepared(pages, resource, now, zone))
-        warehouse.upsert(resource, good, zone)
+        done = warehouse.merge(resource, pages, f"batch-{batch_id}", now, zone)
+        if on_batch:
+            on_batch(done)
 
     writer = (
         landing.page_stream(resource, files_per_batch)

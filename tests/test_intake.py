@@ -97,7 +97,7 @@ def test_shift(spark):
     [
         ("taxes", {"type": "ADDED", "rate": 100.5}, ["rate out of range"]),
         ("taxes", {"type": "ADDED", "rate": 100}, []),
-        ("taxes", {"rate": "many"}, ["type missing", "rate missing"]),
+        ("taxes", {"rate": "many"}, ["rate is no number", "type missing"]),
         ("discounts", {"type": "FIXED_AMOUNT"}, ["discount_amount missing"]),
         ("discounts", {"type": "VARIABLE_PERCENT", "discount_amount": -1}, ["discount_amount out of range"]),
         ("discounts", {"type": "HALF"}, ["type not allowed"]),

@@ -129,11 +129,51 @@ def test_incremental_sync(spark, warehouse):
     assert loader.rejected("customers").first().reasons == "name missing"
     assert loader.unreadable("customers").count() == 0
     second = loader.sync(["customers", "receipts"])
-    # 1 and 2 lie on the mark; 4 changed before it
-    assert second.counts == {"customers": 3, "receipts": 1} and not second.errors
-    assert sorted(r.id for r in warehouse.table("customers").collect()) == ["1", "2", "3"]
+    # only new files are read; 4 changed before what the first sync saw, and counts all the same
+    assert second.counts == {"customers": 2, "receipts": 1} and not second.errors
+    assert second.rejected == {"customers": 1, "receipts": 0}
+    assert sorted(r.id for r in warehouse.table("customers").collect()) == ["1", "2", "3", "4"]
+    kept = warehouse.rejects("customers").first()
+    assert (kept.kind, kept.reasons, json.loads(kept.body)) == ("record", "name missing", {"id": "5"})
     kinds = {r.resource_name: (r.records_count, r.sync_type) for r in loader.sync_metadata().collect()}
-    assert kinds == {"customers": (3, "incremental"), "receipts": (1, "full")}
+    assert kinds == {"customers": (2, "incremental"), "receipts": (1, "full")}
+    assert loader.sync(["customers", "receipts"]).counts == {"customers": 0, "receipts": 0}
+
+
+def test_every_record_is_stored_replaced_or_refused(spark, warehouse):
+    landing = Landing(spark, scratch_dir(spark, "land"))
+    texts = [
+        json.dumps({"customers": [customer(1), 5, customer(2), None, {"id": "3"}]}),
+        json.dumps({"customers": [customer(1, "2026-05-03"), {**customer(4), "total_spent": "much"}]}),
+        "no page",
+    ]
+    spark.createDataFrame([(t,) for t in texts], "value STRING").write.text(landing.path("customers"))
+    report = Loader(warehouse, landing, now=NOW).sync(["customers"])
+    assert (report.counts["customers"], report.rejected["customers"], report.unreadable["customers"]) == (2, 4, 1)
+    assert sorted(r.reasons for r in warehouse.rejects("customers").collect()) == [
+        "name missing", "not a JSON object", "not an object", "not an object", "total_spent is no number",
+    ]
+
+
+def test_clashing_line_ids(warehouse):
+    def clash(number):
+        made = receipt(number)
+        return {**made, "line_items": [{**made["line_items"][0], "id": "1"}]}
+
+    put(warehouse, clash("R1"), clash("R2"))
+    put(warehouse, clash("R3"))
+    assert lines(warehouse) == ["1", "1", "1"]
+
+
+def test_a_cluster_needs_a_shared_folder(monkeypatch):
+    from types import SimpleNamespace
+
+    from posmetrics.session import shared_root
+
+    context = SimpleNamespace(getCheckpointDir=lambda: None, master="spark://host:7077")
+    bare = SimpleNamespace(conf=SimpleNamespace(get=lambda k, d: d), sparkContext=context)
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_root(bare)
 
 
 def test_failures(spark, warehouse):

@@ -7,6 +7,7 @@ from datetime import date, datetime
 from pyspark.sql import functions as F
 
 from posmetrics import Engine, sinks
+from posmetrics.operators import listing
 from posmetrics.plans import intake
 from posmetrics.plans.sync import Loader
 from posmetrics.plans.warehouse import Warehouse
@@ -173,6 +174,121 @@ def metric_on_warehouse(spark, sf_dir):
     return Engine(warehouse, AS_OF).profitability.gross_profit(days=365)
 
 
+def late_pages(spark, sf_dir):
+    """A third of the receipts lands after a sync, most of them older than what it saw."""
+    warehouse, landing = _fresh(spark, "late")
+    rows = feed.source(spark, sf_dir, "receipts")
+    loader = Loader(warehouse, landing, now=NOW)
+    for part in ("k % 3 <> 0", "k % 3 = 0"):
+        feed.pages(spark, sf_dir, "receipts", rows.filter(part)).write.mode("append").text(landing.path("receipts"))
+        loader.sync(["receipts"])
+    return warehouse.table("receipts").select(*RECEIPT)
+
+
+def unstamped(spark, sf_dir):
+    """Some receipts lack the time of their change and are stamped with the load time;
+    changes that are older than that stamp still come through."""
+    warehouse, landing = _fresh(spark, "unstamped")
+    rows = feed.source(spark, sf_dir, "receipts").withColumn(
+        "at2", F.when(F.expr("k % 50 = 2 AND o_orderstatus <> 'P'"), "").otherwise(F.col("at2"))
+    )
+    feed.pages(spark, sf_dir, "receipts", rows).write.text(landing.path("receipts"))
+    loader = Loader(warehouse, landing, now=NOW)
+    loader.sync(["receipts"])
+    _changed_orders(spark, sf_dir).write.mode("append").text(landing.path("receipts"))
+    loader.sync(["receipts"])
+    return warehouse.table("receipts").select(*RECEIPT)
+
+
+def window_then_sync(spark, sf_dir):
+    warehouse, landing = _fresh(spark, "then")
+    _land(spark, sf_dir, landing, ["receipts"])
+    loader = Loader(warehouse, landing, now=NOW)
+    loader.load_all(["receipts"], created_at_min=datetime(1999, 1, 1), created_at_max=datetime(1999, 12, 31))
+    loader.sync(["receipts"])
+    return warehouse.table("receipts").select(*RECEIPT)
+
+
+def one_fails(spark, sf_dir):
+    """Customers have not landed at the first sync; the second catches up."""
+    warehouse, landing = _fresh(spark, "fails")
+    _land(spark, sf_dir, landing, ["receipts"])
+    loader = Loader(warehouse, landing, now=NOW)
+    assert set(loader.sync(["customers", "receipts"]).errors) == {"customers"}
+    _land(spark, sf_dir, landing, ["customers"])
+    assert not loader.sync(["customers", "receipts"]).errors
+    return warehouse.counts(["customers", "receipts"])
+
+
+def stream_rejects(spark, sf_dir):
+    warehouse, landing = _fresh(spark, "rejects")
+    feed.damaged_pages(spark, sf_dir).write.text(landing.path("customers"))
+    follow(warehouse, landing, "customers", now=NOW).awaitTermination()
+    return warehouse.rejects("customers").groupBy("kind", "reasons").agg(F.count("*").alias("n"))
+
+
+def clashing_lines(spark, sf_dir):
+    """Every receipt numbers its lines 1 and 2; they arrive in two batches."""
+    warehouse, _ = _fresh(spark, "clash")
+    for part in ("k % 2 = 0", "k % 2 = 1"):
+        rows = feed.source(spark, sf_dir, "receipts").filter(part)
+        pages = rows.selectExpr(
+            """to_json(named_struct('receipts', array(named_struct(
+                 'receipt_number', concat('R-', k), 'receipt_type', 'SALE', 'receipt_date', at, 'created_at', at,
+                 'updated_at', at2, 'total_money', o_totalprice, 'store_id', 'st-1',
+                 'line_items', transform(array('1', '2'), i -> named_struct('id', i, 'item_id', 'it-1',
+                    'item_name', 'x', 'quantity', 1, 'price', 5.0, 'total_money', 5.0)))))) AS value"""
+        )
+        warehouse.upsert("receipts", intake.valid(intake.prepared(pages, "receipts", NOW)))
+    return warehouse.table("receipt_line_items").select("receipt_id", "id")
+
+
+def wrong_types(spark, sf_dir):
+    rows = feed.source(configure(spark), sf_dir, "taxes")
+    pages = rows.selectExpr(
+        """concat('{"taxes":[{"id":"tax-', k, '","name":"n","type":"ADDED","rate":',
+             elt(1 + k % 5, '"many"', '[1]', '"12.5"', '7', 'true'),
+             ',"created_at":"', if(k % 4 = 0, 'garbage', at), '"}]}') AS value"""
+    )
+    checked = intake.prepared(pages, "taxes", NOW).filter(F.size(intake.ERRORS) > 0)
+    return checked.select("id", F.array_join(intake.ERRORS, "; ").alias("reasons"))
+
+
+def _mixed(spark, sf_dir):
+    """Fifty records a page, with four elements that are no objects."""
+    one = feed.pages(configure(spark), sf_dir, "customers").selectExpr(
+        "get_json_object(value, '$.customers[0]') AS record", "int(get_json_object(value, '$.cursor')) AS k"
+    )
+    return one.groupBy(F.expr("k div 50")).agg(F.array_join(F.collect_list("record"), ",").alias("all")).selectExpr(
+        """concat('{"customers":[17,', all, ',"x",null,[1]]}') AS value"""
+    )
+
+
+def mixed_pages(spark, sf_dir):
+    judged = intake.judged(_mixed(spark, sf_dir), "customers", NOW)
+    return intake.accepted(judged).select("id", "name", "total_visits", "total_spent")
+
+
+def mixed_page_rejects(spark, sf_dir):
+    judged = intake.judged(_mixed(spark, sf_dir), "customers", NOW)
+    return intake.refused(judged).groupBy("kind", "reasons", F.when(F.col("reasons") == "not an object", F.col("body")).alias("body")).agg(
+        F.count("*").alias("n")
+    )
+
+
+def empty_period(spark, sf_dir):
+    engine = Engine(StarTables(configure(spark), sf_dir), AS_OF)
+    return engine.revenue.total_revenue(date_start="1901-01-01", date_end="1901-01-31").toDF("total_revenue")
+
+
+def table_listing(spark, sf_dir):
+    """The tables there are after some have been loaded into a bare folder."""
+    warehouse = Warehouse(configure(spark), f"{scratch_dir(spark, 'listing')}/warehouse")
+    for resource in ("customers", "employees"):
+        warehouse.upsert(resource, intake.valid(_prepared(spark, sf_dir, resource)))
+    return spark.createDataFrame([(t,) for t in warehouse.list_tables()], "table_name string")
+
+
 # listing over the star's tables
 
 
@@ -215,6 +331,20 @@ LISTING = {
     "r07_equal_status": lambda x: x.list_records(
         "receipts", equals={"store_id": "2", "receipt_type": "REFUND"}, limit=None
     ).select(*HEAD),
+    "r07_equal_refunds": lambda x: x.list_records(
+        "receipts", equals={"store_id": "0", "receipt_type": "REFUND"}
+    ).select(*HEAD),
+    "r01_list_all_customers": lambda x: x.list_records("customers").select(*PERSON),
+    "r06_many_ids": lambda x: x.list_records(
+        "receipts", ids={"receipt_number": [str(i) for i in range(1, 2000)]}
+    ).select(*HEAD),
+    "r07_all_items_in_store": lambda x: x.items_in_store("3").select("id", "name"),
+    "r08_all_receipts_between": lambda x: x.receipts_between(since="1", before="3").select(*HEAD),
+    "r12_created_on_days": lambda x: x.list_records(
+        "receipts",
+        created_at_min=listing.parse_day("2001-07-01", AS_OF),
+        created_at_max=listing.parse_day("yesterday", AS_OF, end_of_day=True),
+    ).select(*HEAD),
     "r07_items_in_store": lambda x: x.items_in_store("3", limit=None).select("id", "name"),
     "r08_receipts_between": lambda x: x.receipts_between(
         since="1", before="3", sort_order="asc", limit=100
@@ -348,6 +478,17 @@ QUERIES = {
     "w04_incremental_sync": incremental_sync,
     "w05_streaming_sync": streaming_sync,
     "w06_sync_metadata": sync_metadata,
+    "w04_late_page": late_pages,
+    "w04_missing_updated_at": unstamped,
+    "w03_window_then_sync": window_then_sync,
+    "w04_one_resource_fails": one_fails,
+    "w05_stream_rejects": stream_rejects,
+    "w02_clashing_line_ids": clashing_lines,
+    "i07_wrong_types": wrong_types,
+    "i01_mixed_page": mixed_pages,
+    "i01_mixed_page_rejects": mixed_page_rejects,
+    "c05_empty_period": empty_period,
+    "w08_table_listing": table_listing,
     "w02_metric_on_warehouse": metric_on_warehouse,
     "w07_table_counts": table_counts,
     "w09_csv_sink": _roundtrip(sinks.write_csv, _read_csv),

@@ -318,11 +318,49 @@ RAW = {
     "w04_incremental_sync": AFTER_CHANGE,
     "w05_streaming_sync": AFTER_CHANGE,
     "w06_sync_metadata": f"""
-        WITH c AS ({AFTER_CHANGE}), h AS (SELECT MAX(updated_at) AS mark FROM ({HEADERS}))
+        WITH c AS ({AFTER_CHANGE})
         SELECT 'receipts' AS resource_name, (SELECT MAX(updated_at) FROM c) AS last_sync_at,
-               (SELECT COUNT(*) FROM c, h WHERE updated_at >= mark) AS records_count, 'incremental' AS sync_type
+               (SELECT COUNT(*) FROM orders WHERE o_orderstatus = 'P') AS records_count, 'incremental' AS sync_type
         UNION ALL SELECT 'items', MAX(a), COUNT(*), 'full' FROM {PART}
         UNION ALL SELECT 'customers', MAX(b), COUNT(*), 'full' FROM {CUSTOMER}""",
+    "w04_late_page": HEADERS,
+    "w04_missing_updated_at": f"""
+        SELECT c.receipt_number, c.receipt_type, c.receipt_date,
+               CASE WHEN o.o_orderkey % 50 = 2 AND o.o_orderstatus <> 'P' THEN {NOW} ELSE c.updated_at END AS updated_at,
+               c.total_money
+        FROM ({AFTER_CHANGE}) c JOIN orders o ON c.receipt_number = 'R-' || o.o_orderkey""",
+    "w03_window_then_sync": HEADERS,
+    "w04_one_resource_fails": f"""
+        SELECT 'customers' AS table_name, COUNT(*) AS row_count FROM ({CUSTOMERS_CLEAN})
+        UNION ALL SELECT 'receipts', COUNT(*) FROM ({HEADERS})""",
+    "w02_clashing_line_ids": """
+        SELECT 'R-' || o_orderkey AS receipt_id, unnest(['1', '2']) AS id FROM orders""",
+    "i07_wrong_types": reasons(
+        f"(SELECT *, 'tax-' || k AS id FROM {PART})",
+        "id",
+        {
+            "rate is no number": "k % 5 IN (0, 1, 4)",
+            "created_at is no time": "k % 4 = 0",
+        },
+    ),
+    "i01_mixed_page": f"SELECT id, name, total_visits, total_spent FROM ({CUSTOMERS_CLEAN})",
+    "i01_mixed_page_rejects": f"""
+        SELECT 'record' AS kind, 'not an object' AS reasons, unnest(['17', 'x', 'null', '[1]']) AS body,
+               COUNT(DISTINCT k // 50) AS n FROM {CUSTOMER}""",
+    "c05_empty_period": "SELECT 0e0 AS total_revenue",
+    "w08_table_listing": "SELECT unnest(['customers', 'employees', 'employee_store']) AS table_name",
+    "r07_equal_refunds": f"""
+        SELECT {HEAD} FROM receipts WHERE store_id = '0' AND receipt_type = 'REFUND' AND {LIVE}""",
+    "r01_list_all_customers": f"SELECT id, name, created_at, updated_at FROM customers WHERE {LIVE}",
+    "r06_many_ids": f"SELECT {HEAD} FROM receipts WHERE CAST(receipt_number AS BIGINT) BETWEEN 1 AND 1999 AND {LIVE}",
+    "r07_all_items_in_store": f"""
+        SELECT id, name FROM items WHERE {LIVE} AND id IN (
+          SELECT v.item_id FROM variants v JOIN variant_store s ON v.id = s.variant_id WHERE s.store_id = '3')""",
+    "r08_all_receipts_between": f"""
+        SELECT {HEAD} FROM receipts WHERE receipt_number > '1' AND receipt_number < '3' AND {LIVE}""",
+    "r12_created_on_days": f"""
+        SELECT {HEAD} FROM receipts WHERE {LIVE} AND created_at >= TIMESTAMP '2001-07-01'
+          AND created_at < {m.TODAY}""",
     "w07_table_counts": " UNION ALL ".join(
         f"SELECT '{t}' AS table_name, CAST("
         + (f"({COUNTS[t]}) * {TIMES.get(t, 1)}" if t in ("customers", "employees", "employee_store") else "0")
@@ -389,3 +427,6 @@ RAW = {
         SELECT id, name, created_at, updated_at FROM customers
         WHERE {LIVE} AND ends_with(email, '@example.org') AND total_spent > 5000""",
 }
+
+RAW["w05_stream_rejects"] = f"""
+    SELECT 'page' AS kind, reason AS reasons, COUNT(*) AS n FROM ({RAW["i01_unreadable_pages"]}) GROUP BY 2"""
