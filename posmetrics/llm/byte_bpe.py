@@ -24,16 +24,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, DataType, IntegerType, StructField, StructType
 
-from posmetrics.llm.common import pieces, table, texts_of, vocabulary_path
+from posmetrics.llm.common import table, text_pieces, tuned, vocabulary_path
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
 # fixed value: the pattern that goes with the vocabulary
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
-CACHE = 600_000  # words and stretches of text a Python process remembers
-PIECE = 4_000_000  # characters handled at a time
+CACHE = 500_000  # words and stretches of text a task remembers
+PIECE = 3_000_000  # characters handled at a time
 AT_ONCE = 5_000  # words of one recursive query
 LONG = 256  # bytes from which a word goes to the query that keeps only its newest state
-MEMORY = "256MB"
+MEMORY = "160MB"
 ENDS = ".,;:!?"
 IDS = ArrayType(IntegerType())
 
@@ -259,6 +259,7 @@ def round_trip(docs: DataFrame, path: str, text_col: str = "text") -> DataFrame:
 
 def decode(df: DataFrame, path: str, ids_col: str = "ids", out_col: str = "decoded") -> DataFrame:
     """``df`` with the bytes of each list of ids; null for null."""
+    tuned(df.sparkSession)
     kept = df.drop(out_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -275,6 +276,7 @@ def decode(df: DataFrame, path: str, ids_col: str = "ids", out_col: str = "decod
 
 
 def _mapped(docs: DataFrame, path: str, text_col: str, added: list[tuple[str, DataType]], make) -> DataFrame:
+    tuned(docs.sparkSession)
     names = [n for n, _ in added]
     kept = docs.drop(*(n for n in names if n != text_col))
     schema = StructType([*kept.schema, *(StructField(name, kind) for name, kind in added)])
@@ -282,11 +284,12 @@ def _mapped(docs: DataFrame, path: str, text_col: str, added: list[tuple[str, Da
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = engine(path)
         for batch in batches:
-            texts = texts_of(batch.column(text_col))
-            for start, end in pieces(texts, PIECE):
+            for start, end, texts in text_pieces(batch.column(text_col), PIECE):
                 part = batch.slice(start, end - start)
-                new = make(own, texts[start:end])
+                new = make(own, texts)
                 yield pa.RecordBatch.from_arrays([*part.columns, *new], [*part.schema.names, *names])
+        # the process serves other tasks next, which need the memory
+        own.known.clear()
 
     return kept.mapInArrow(run, schema)
 

@@ -17,12 +17,18 @@ from posmetrics.session import shared_root
 SIMPLE_LIMIT = "\u0250"
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    # Python workers import this package, also where they don't start in its folder
+def tuned(spark: SparkSession) -> SparkSession:
+    """Settings for tasks that hand whole texts to Python: few rows at a time, since a text
+    can be long, and this package on the workers' path wherever they start."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
     root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
     known = spark.sparkContext.environment.get("PYTHONPATH") or os.environ.get("PYTHONPATH", "")
     if root not in known.split(os.pathsep):
         spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(filter(None, (root, known)))
+    return spark
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

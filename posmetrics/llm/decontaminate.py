@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from posmetrics.llm.common import pieces, table, texts_of
+from posmetrics.llm.common import pieces, table, texts_of, tuned
 from posmetrics.llm.words import Words, windows, words
 
 WIDTH = 8  # words of a window
@@ -215,7 +215,7 @@ def contaminated(
     """One row per document and item found in it: ``doc_id, item_id, n_windows,
     coverage, slot_agreement, kind`` (copy or template). No shuffle."""
     schema = "doc_id long, item_id long, n_windows long, coverage double, slot_agreement double, kind string"
-    spark = docs.sparkSession
+    spark = tuned(docs.sparkSession)
     rows = docs.selectExpr(f"cast(`{id_col}` as long) as doc_id", f"`{text_col}` as text")
 
     def search(part: Benchmark) -> DataFrame:
@@ -248,7 +248,7 @@ def clean(
     slice_chars: int = SLICE,
 ) -> DataFrame:
     """The rows of ``docs`` that hold no item, with all their columns."""
-    spark = docs.sparkSession
+    spark = tuned(docs.sparkSession)
     for part in slices(benchmark, item_id, item_text, slice_chars):
         held = spark.sparkContext.broadcast(part)
 

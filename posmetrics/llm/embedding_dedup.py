@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from posmetrics.llm.common import table, written
+from posmetrics.llm.common import table, tuned, written
 from posmetrics.llm.components import components
 
 LEAST = 0.93
@@ -176,6 +176,7 @@ def near_duplicates(
     leaf: int = LEAF,
 ) -> DataFrame:
     """``vec_id, n_links, component_id, kept`` for each row."""
+    tuned(vectors.sparkSession)
     given = vectors.select(
         F.col(id_col).cast("long").alias("vec_id"),
         F.col(vector_col).cast("array<double>").alias("x"),

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DoubleType, StringType, StructField, StructType
 
-from posmetrics.llm.common import pieces, table, texts_of
+from posmetrics.llm.common import pieces, table, texts_of, tuned
 
 UNDETERMINED = "und"
 PER_LANGUAGE = 200  # training rows of each language at most
@@ -183,6 +183,7 @@ def identify(
 ) -> DataFrame:
     """``docs`` with predicted language, score and the ambiguity flag; these replace
     columns of their names."""
+    tuned(docs.sparkSession)
     kept = docs.drop(*(n for n in names if n != text_col))
     kinds = (StringType(), DoubleType(), BooleanType())
     schema = StructType([*kept.schema, *map(StructField, names, kinds)])

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from posmetrics.llm.common import table, text_pieces, texts_of, written
+from posmetrics.llm.common import table, text_pieces, texts_of, tuned, written
 from posmetrics.llm.components import components
 from posmetrics.llm.words import mix, windows, words
 
@@ -376,6 +376,7 @@ def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
 def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, class_id, kept`` for each row: the smallest id of its class, and whether it
     is that one."""
+    tuned(docs.sparkSession)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     marks = written(signed(rows.where("doc_id is not null")), "signatures")
     equal = marks.groupBy("whole", "size").agg(F.min("doc_id").alias("uid"))

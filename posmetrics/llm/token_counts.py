@@ -19,7 +19,7 @@ from heapq import heapify, heappop, heappush
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from posmetrics.llm.common import pieces, table, texts_of, vocabulary_path
+from posmetrics.llm.common import pieces, table, texts_of, tuned, vocabulary_path
 
 VOCABULARY = "piece_bpe_32k.model"
 LIMIT = 4096
@@ -150,6 +150,7 @@ def token_counts(
                     }
                 )
 
+    tuned(docs.sparkSession)
     rows = docs.selectExpr(f"cast(`{id_col}` as long) as doc_id", f"`{text_col}` as text")
     return rows.mapInArrow(run, "doc_id long, n_bytes long, n_tokens long, over_limit boolean")
 

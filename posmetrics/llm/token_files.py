@@ -36,6 +36,7 @@ from posmetrics.llm.common import (
     shared_folder,
     table,
     texts_of,
+    tuned,
     vocabulary_path,
     write_bytes,
 )
@@ -120,7 +121,7 @@ def write(
 ) -> DataFrame:
     """Encode every document into ``folder``; returns one row per shard: its number,
     documents, ids, and the base (ids before it)."""
-    spark = docs.sparkSession
+    spark = tuned(docs.sparkSession)
     n = shards or int(spark.conf.get("spark.sql.shuffle.partitions"))
     # the last key only spreads equal rows over shards; it never orders different ones
     order = (F.col("id").asc_nulls_first(), F.col("_h"), F.col("_k"))
