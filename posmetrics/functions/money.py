@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 TICKS_PER_UNIT = 10_000.0
+LARGEST = 9e14  # times TICKS_PER_UNIT a long holds it
 _LOW_BITS = 20  # leaves room for 2^43 rows per group
 _LONG = T.DecimalType(19, 0)
 
@@ -22,10 +23,16 @@ def _col(value: Column | str) -> Column:
 def exact_sum(value: Column | str) -> Column:
     """SUM in ticks; these sums may be added up again. ``amount`` turns them back.
 
+    Digits beyond the fourth decimal of a single value are rounded away. A value that is
+    no number, or too large for ticks, stops the query: it has no exact sum.
     High and low bits are summed apart as longs and joined once per group: a decimal
     buffer would cost many times more per row, one long could overflow.
     """
-    ticks = F.floor(_col(value) * TICKS_PER_UNIT + 0.5)
+    given = _col(value).cast("double")
+    # NaN is above every number; NULL takes the second branch
+    ticks = F.when(
+        F.abs(given) >= LARGEST, F.raise_error(F.lit("an amount is no number or too large to be summed"))
+    ).otherwise(F.floor(given * TICKS_PER_UNIT + 0.5))
     high = F.sum(F.shiftright(ticks, _LOW_BITS)).cast(_LONG)
     low = F.sum(ticks.bitwiseAND(F.lit(2**_LOW_BITS - 1))).cast(_LONG)
     return high * F.lit(2**_LOW_BITS).cast("decimal(7,0)") + low
@@ -49,7 +56,8 @@ def mean(value: Column | str) -> Column:
 def rnd(value: Column | str, digits: int) -> Column:
     """Round half away from zero, on the double itself.
 
-    Beyond 2^52 a double has no fraction left, so the value is returned as it is.
+    Beyond 2^52 a double has no fraction left, so the value is returned as it is; the
+    floor would overflow there.
     """
     x, scale = _col(value), float(10**digits)
     shifted = F.abs(x) * scale

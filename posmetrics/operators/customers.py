@@ -130,10 +130,13 @@ class Customers(MetricGroup):
         )
 
     def unique_customers(
-        self, days=30, date_start=None, date_end=None, store_id=None
+        self, days=30, date_start=None, date_end=None, store_id=None, approximate=False
     ) -> DataFrame:
+        """How many customers bought something; ``approximate`` is off by 2 % or so, but
+        needs no shuffle of the customers."""
         visits = self._visits(self._window(days, date_start, date_end), store_id)
-        return visits.agg(F.count_distinct("customer_id").alias("unique_customers"))
+        count = F.approx_count_distinct("customer_id", 0.02) if approximate else F.count_distinct("customer_id")
+        return visits.agg(count.alias("unique_customers"))
 
     def _visit_counts(self, window) -> DataFrame:
         """How many customers made 1, 2, ... visits."""

@@ -24,20 +24,22 @@ class Employees(MetricGroup):
         )
 
     def revenue_by_employee(
-        self, days=30, date_start=None, date_end=None, store_id=None
+        self, days=30, date_start=None, date_end=None, store_id=None, by_id=False
     ) -> DataFrame:
-        """employee, tx_count, revenue, avg_ticket, total_tips; one row per name."""
+        """employee, tx_count, revenue, avg_ticket, total_tips; one row per name, or, with
+        ``by_id``, per employee_id."""
+        group = ["employee_id", "employee"] if by_id else ["employee"]
         revenue = amount(F.sum("_revenue"))
         return (
             self._per_employee(self._window(days, date_start, date_end), store_id)
-            .groupBy("employee")
+            .groupBy(*group)
             .agg(
                 F.sum("_n").alias("tx_count"),
                 rnd(revenue, 2).alias("revenue"),
                 rnd(revenue / F.sum("_n"), 2).alias("avg_ticket"),
                 rnd(amount(F.sum("_tips")), 2).alias("total_tips"),
             )
-            .orderBy(F.desc("revenue"), "employee")
+            .orderBy(F.desc("revenue"), *reversed(group))
         )
 
     def employee_daily_summary(

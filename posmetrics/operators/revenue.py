@@ -24,8 +24,10 @@ class Revenue(MetricGroup):
             .orderBy(F.desc("date"))
         )
 
-    def revenue_by_store(self, days=30, date_start=None, date_end=None) -> DataFrame:
-        """store_name, tx_count, revenue, avg_ticket; stores of one name are merged."""
+    def revenue_by_store(self, days=30, date_start=None, date_end=None, by_id=False) -> DataFrame:
+        """store_name, tx_count, revenue, avg_ticket; stores of one name are merged, unless
+        ``by_id``, which adds store_id."""
+        group = ["store_id", "store_name"] if by_id else ["store_name"]
         per_id = (
             self._sales(self._window(days, date_start, date_end))
             .groupBy("store_id")
@@ -34,13 +36,13 @@ class Revenue(MetricGroup):
         revenue = amount(F.sum("_revenue"))
         return (
             per_id.join(self._names("stores", "store_id", "store_name"), "store_id")
-            .groupBy("store_name")
+            .groupBy(*group)
             .agg(
                 F.sum("_n").alias("tx_count"),
                 rnd(revenue, 2).alias("revenue"),
                 rnd(revenue / F.sum("_n"), 2).alias("avg_ticket"),
             )
-            .orderBy(F.desc("revenue"), "store_name")
+            .orderBy(F.desc("revenue"), *reversed(group))
         )
 
     def revenue_growth(self, period="month", months=12, store_id=None) -> DataFrame:

@@ -194,11 +194,17 @@ class Warehouse(Tables):
         else:
             latest = latest.withColumn(BUCKET, _bucket(spec))
         version = ["updated_at"] if versioned else []
-        known = self.stored(spec.name).select(
-            *spec.key,
-            F.lit(True).alias("_known"),
-            F.col(spec.partition).alias(_STORED_IN),
-            *(F.col(v).alias("_stored_version") for v in version),
+        # stored rows are cut down to the keys of the batch, by a broadcast where it is small,
+        # so that the table is not shuffled for it
+        known = (
+            self.stored(spec.name)
+            .select(
+                *spec.key,
+                F.lit(True).alias("_known"),
+                F.col(spec.partition).alias(_STORED_IN),
+                *(F.col(v).alias("_stored_version") for v in version),
+            )
+            .join(records.select(*spec.key).distinct(), list(spec.key), "left_semi")
         )
         joined = latest.join(known, list(spec.key), "left")
         if versioned:

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from posmetrics.functions.money import amount, exact_sum, rnd
+from posmetrics.functions.money import amount, exact_sum, rnd, total
 from posmetrics.functions.ntile import with_ntiles
 from posmetrics.functions.text import id_text, tidy, title_case, to_zone
 
@@ -79,3 +79,12 @@ def test_tidy_and_ids(spark):
 def test_times(spark, text, local):
     df = spark.createDataFrame([(text,)], "t STRING")
     assert df.select(to_zone(F.col("t"), "Asia/Manila")).first()[0] == local
+
+
+def test_amounts_without_an_exact_sum_are_refused(spark):
+    for bad in (float("nan"), float("inf"), 1e16):
+        df = spark.createDataFrame([(1.5,), (bad,)], "x double")
+        with pytest.raises(Exception, match="no number or too large"):
+            df.agg(total("x")).collect()
+    df = spark.createDataFrame([(1.000049,), (None,), (2.5,), (-8.9e14,)], "x double")
+    assert df.agg(total("x")).first()[0] == -8.9e14 + 3.5

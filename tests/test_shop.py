@@ -25,6 +25,9 @@ def test_revenue(engine):
     assert [r.date for r in daily] == [date(2026, 5, 3), date(2026, 5, 2), date(2026, 5, 1)]
     assert sum(r.tx_count for r in daily) == 6
     assert rows(engine.revenue.revenue_by_store()) == [("Main Store", 6, 1500.0, 250.0)]
+    assert rows(engine.revenue.revenue_by_store(by_id=True)) == [("store1", "Main Store", 6, 1500.0, 250.0)]
+    by_id = engine.employees.revenue_by_employee(by_id=True).collect()
+    assert {r.employee_id for r in by_id} == {"emp1", "emp2"} and len(by_id) == 2
     assert rows(engine.revenue.refund_rate())[0] == (date(2026, 5, 3), -100.0, 250.0, 40.0)
     assert rows(engine.revenue.revenue_growth()) == [(date(2026, 5, 1), 1500.0, 6, None, None)]
 
@@ -55,6 +58,7 @@ def test_customers(engine):
     assert len(rfm) == 3
     assert all(1 <= s <= 5 for r in rfm for s in (r.r_score, r.f_score, r.m_score))
     assert rows(engine.customers.unique_customers()) == [(3,)]
+    assert rows(engine.customers.unique_customers(approximate=True)) == [(3,)]
     assert rows(engine.customers.retention_rate()) == [(100.0,)]
     assert rows(engine.customers.customer_visit_distribution()) == [(2, 3, 100.0)]
     first_day = engine.customers.new_vs_returning().collect()[-1]
