@@ -6,9 +6,9 @@ text is read back; so a text can say anything, backslashes included.
 
 Every assistant turn is an example of its own: all turns before it are its context and
 only its reply is trainable. :func:`format_turns` writes each turn once, with the place of
-its reply and of its context in the conversation, so the output grows with the input and
-not with the square of a conversation's length; :func:`expand` makes the examples' full
-texts where they are wanted.
+its reply and of its context in the conversation; :func:`expand` joins every reply with the
+turns up to it and makes the examples' full texts, whose size grows with the square of a
+conversation's length. The query makes all examples and reads its figures back from them.
 
 Defined cases: a null text or role counts as empty; a null turn comes first, equal turns
 are ordered by role and text; repeated rows stay; a null conversation id is a conversation
@@ -75,18 +75,34 @@ def format_turns(
 
 
 def expand(formatted: DataFrame) -> DataFrame:
-    """The examples in full: ``conv_id, example, text, loss_from, loss_until``. Its size is
-    that of all contexts, so a conversation is held in one row."""
-    turn = F.struct("position", "formatted", "start", "loss_from", "loss_until")
-    whole = formatted.groupBy("conv_id").agg(F.sort_array(F.collect_list(turn)).alias("turns"))
-    cut = whole.select("conv_id", "turns", F.explode("turns").alias("t")).where("t.loss_from is not null")
-    own = F.transform(F.slice("turns", F.lit(1), F.col("t.position").cast("int")), lambda x: x["formatted"])
-    return cut.select(
-        "conv_id",
-        F.col("t.position").alias("example"),
-        F.array_join(own, "").alias("text"),
-        (F.col("t.start") + F.col("t.loss_from")).alias("loss_from"),
-        (F.col("t.start") + F.col("t.loss_until")).alias("loss_until"),
+    """The examples in full: ``conv_id, example, text, loss_from, loss_until``. Every reply
+    meets the turns up to it, so its size is that of all contexts; a row is one example."""
+    replies = formatted.where("loss_from is not null").select(
+        F.col("conv_id").alias("own"),
+        F.col("position").alias("example"),
+        (F.col("start") + F.col("loss_from")).alias("loss_from"),
+        (F.col("start") + F.col("loss_until")).alias("loss_until"),
+    )
+    turns = formatted.select("conv_id", "position", "formatted")
+    met = turns.join(replies, F.expr("conv_id <=> own and position <= example"))
+    own = F.sort_array(F.collect_list(F.struct("position", "formatted")))
+    return (
+        met.groupBy("conv_id", "example", "loss_from", "loss_until")
+        .agg(own.alias("turns"))
+        .select("conv_id", "example", F.array_join("turns.formatted", "").alias("text"), "loss_from", "loss_until")
+    )
+
+
+def read_back(text: F.Column) -> F.Column:
+    """Roles and texts of all turns of an example or conversation, unescaped."""
+    parts = F.split(text, CLOSE)  # control strings of a text are escaped: it cannot hold one
+    body = lambda x: F.substr(x, F.lit(len(OPEN) + 1), F.length(x))
+    return F.transform(
+        F.slice(parts, F.lit(1), F.size(parts) - 1),
+        lambda x: F.struct(
+            unescape(F.substr(body(x), F.lit(1), F.instr(body(x), ROLE_END) - 1)).alias("role"),
+            unescape(F.substr(body(x), F.instr(body(x), ROLE_END) + len(ROLE_END), F.length(x))).alias("text"),
+        ),
     )
 
 
@@ -114,24 +130,48 @@ def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("id") == 0, "user").otherwise(REPLY).alias("role"),
         F.lit(PROBE).alias("text"),
     )
-    turns = read_turns(format_turns(given.unionByName(probe)))
-    said = F.concat("role", F.lit("\n"), "text", F.lit("\n"))
-    grouped = turns.groupBy("conv_id").agg(
-        F.count("*").alias("n_turns"),
-        F.sort_array(F.collect_list(F.struct("position", said.alias("said"), "reply"))).alias("turns"),
-        F.sum(F.length("reply")).alias("loss_chars"),
-        F.sum("size").alias("formatted_chars"),
-        F.count("expanded").alias("n_examples"),
+    formatted = format_turns(given.unionByName(probe))
+    examples = expand(formatted)
+    reply = F.substr("text", F.col("loss_from") + 1, F.col("loss_until") - F.col("loss_from"))
+    # turns after the last reply are in no example
+    replied = F.max(F.when(F.col("loss_from").isNotNull(), F.col("position")))
+    rest = formatted.withColumn("last", F.coalesce(replied.over(Window.partitionBy("conv_id")), F.lit(0)))
+    parts = examples.select(
+        "conv_id",
+        "example",
+        "text",
+        unescape(reply).alias("reply"),
+        (F.length("text") - len(CLOSE)).cast("long").alias("expanded"),
+        F.lit(None).cast("struct<position:bigint,formatted:string>").alias("rest"),
+    ).unionAll(
+        rest.where("position > last").select(
+            "conv_id",
+            F.lit(None).cast("long"),
+            F.lit(None).cast("string"),
+            F.lit(None).cast("string"),
+            F.lit(None).cast("long"),
+            F.struct("position", "formatted"),
+        )
+    )
+    answer = F.when(F.col("example").isNotNull(), F.struct("example", "reply"))
+    grouped = parts.groupBy("conv_id").agg(
+        F.coalesce(F.max_by("text", "example"), F.lit("")).alias("longest"),
+        F.sort_array(F.collect_list("rest")).alias("rest"),
+        F.sort_array(F.collect_list(answer)).alias("replies"),
+        F.coalesce(F.sum(F.length("reply")), F.lit(0)).alias("loss_chars"),
+        F.count("example").alias("n_examples"),
         F.coalesce(F.sum("expanded"), F.lit(0)).alias("expanded_chars"),
     )
-    joined = lambda name: F.sha2(F.array_join(F.col("turns")[name], ""), 256)
-    return grouped.select(
+    # the longest example holds all turns up to the last reply
+    whole = grouped.withColumn("whole", F.concat("longest", F.array_join("rest.formatted", "")))
+    said = F.transform("turns", lambda x: F.concat(x["role"], F.lit("\n"), x["text"], F.lit("\n")))
+    return whole.withColumn("turns", read_back(F.col("whole"))).select(
         "conv_id",
-        "n_turns",
-        joined("said").alias("turns_sha256"),
+        F.size("turns").cast("long").alias("n_turns"),
+        F.sha2(F.array_join(said, ""), 256).alias("turns_sha256"),
         "loss_chars",
-        joined("reply").alias("loss_sha256"),
-        "formatted_chars",
+        F.sha2(F.array_join("replies.reply", ""), 256).alias("loss_sha256"),
+        F.length("whole").cast("long").alias("formatted_chars"),
         "n_examples",
         "expanded_chars",
     )

@@ -6,6 +6,7 @@ import hashlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 import corpus_pipeline
@@ -198,6 +199,28 @@ def test_chat_query_against_sql(spark):
     assert probe.loss_sha256 == hashlib.sha256(chat.PROBE.encode()).hexdigest()
 
 
+def test_chat_query_reads_the_examples(spark, conversations, tmp_path, monkeypatch):
+    conversations.write.parquet(f"{tmp_path}/conversations.parquet")
+    read = lambda: {r.conv_id: r for r in chat.op4_chat_format(spark, str(tmp_path)).collect()}
+    whole = read()
+    plain = {}
+    for conv, _, role, text in sorted(TURNS, key=lambda t: (t[0] or 0, -1 if t[1] is None else t[1])):
+        plain.setdefault(conv, []).append((role or "", text or ""))
+    for conv, turns in plain.items():
+        said = "".join(f"{role}\n{text}\n" for role, text in turns)
+        assert whole[conv].turns_sha256 == hashlib.sha256(said.encode()).hexdigest()
+        replies = [text for role, text in turns if role == "assistant"]
+        assert whole[conv].loss_sha256 == hashlib.sha256("".join(replies).encode()).hexdigest()
+        assert (whole[conv].n_turns, whole[conv].n_examples) == (len(turns), len(replies))
+    # examples without their context cannot give the same figures
+    expand = chat.expand
+    bare = lambda f: expand(f).withColumn("text", F.expr("substr(text, greatest(1, loss_from - 18))"))
+    monkeypatch.setattr(chat, "expand", bare)
+    cut = read()
+    assert all(cut[i].turns_sha256 != whole[i].turns_sha256 for i in (1, 2, 4))
+    assert all(cut[i].expanded_chars < whole[i].expanded_chars for i in (1, 4))
+
+
 # --- pipeline -----------------------------------------------------------------------------
 
 
