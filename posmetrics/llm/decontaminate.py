@@ -3,7 +3,8 @@
 Texts become sequences of words in which numbers, units and names are typed placeholders
 (runs of one kind are one placeholder). Windows of templates are joined by hash to the
 windows of the benchmark items, which finds questions that were given new numbers or
-names. A match counts only if the slots agree: one value of the item must stand for one
+names. A capitalised word inside a sentence is a name; where a sentence may begin it can be
+one or not, so templates of both readings are joined. A match counts only if the slots agree: one value of the item must stand for one
 value of the document wherever it occurs. Plain windows of words are joined too, so that
 a copy is found whatever its formatting does to the placeholders.
 
@@ -47,21 +48,30 @@ UNITS = (
 ).split()
 NUMBER, UNIT, NAME = (np.uint64(x) for x in (11, 12, 13))
 KINDS = {int(NUMBER): "number", int(UNIT): "unit", int(NAME): "name"}
-_UNIT_HASH = None
+# words that begin sentences and are no names there
+OPENERS = (
+    "a all also an and another are as at because before after both but by can could did do does during each "
+    "every find first for from given had has have he her here his how i if in into is it its let many most "
+    "my next no not now of on one only or our she since so some suppose that the their then there these they "
+    "this those to today two until was we were what when where which while who whose why will with would you your"
+).split()
+_UNIT_HASH = _OPENER_HASH = None
 
 
-def _flags(w: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Which words are numbers, units and names."""
-    global _UNIT_HASH
+def _flags(w: Words, anywhere: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Which words are numbers, units and names; ``anywhere``: names also where a sentence,
+    a quote or a bracket may begin."""
+    global _UNIT_HASH, _OPENER_HASH
     if _UNIT_HASH is None:
         _UNIT_HASH = np.sort(words([" ".join(UNITS)]).hash)
+        _OPENER_HASH = np.sort(words([" ".join(OPENERS)]).hash)
     n = len(w.start)
     lead = w.raw[w.start]
     number = (lead >= 48) & (lead < 58)
     unit = np.zeros(n, bool)
     after = np.flatnonzero(number[:-1]) + 1
     unit[after] = np.isin(w.hash[after], _UNIT_HASH)
-    # a name is a capitalised word inside a sentence: one space before it, small letters after
+    # a name is a capitalised word, small letters after; inside a sentence: one space before it
     space = np.zeros(n, bool)
     space[1:] = (w.start[1:] - w.end[:-1] == 1) & (w.raw[w.start[1:] - 1] == 32)
     following = w.raw[np.minimum(w.start + 1, len(w.raw) - 1)]
@@ -69,15 +79,16 @@ def _flags(w: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     wide = (lead == 0xC3) & (following >= 0x80) & (following <= 0x9E)
     second = w.raw[np.minimum(w.start + 1 + wide, len(w.raw) - 1)]
     small = ((second >= 97) & (second < 123)) | (second >= 128)
-    name = space & small & (w.end - w.start > 1 + wide) & (((lead >= 65) & (lead < 91)) | wide)
+    name = small & (w.end - w.start > 1 + wide) & (((lead >= 65) & (lead < 91)) | wide)
+    name &= ~np.isin(w.hash, _OPENER_HASH) if anywhere else space
     return number, unit & ~number, name
 
 
 class Template:
     """Template of each text: codes, the words behind each, and the texts' bounds."""
 
-    def __init__(self, w: Words):
-        number, unit, name = _flags(w)
+    def __init__(self, w: Words, anywhere: bool = False):
+        number, unit, name = _flags(w, anywhere)
         code = w.hash.copy()
         code[number], code[unit], code[name] = NUMBER, UNIT, NAME
         same = np.zeros(len(code), bool)
@@ -95,6 +106,13 @@ class Template:
         return " ".join(self.source.text(k).lower() for k in range(self.at[i], self.until[i]))
 
 
+class Named(Template):
+    """Template in which a capitalised word is a name wherever it stands."""
+
+    def __init__(self, w: Words):
+        super().__init__(w, anywhere=True)
+
+
 class Plain(Template):
     """Words as they are."""
 
@@ -104,13 +122,16 @@ class Plain(Template):
         self.until = self.at + 1
 
 
+STREAMS = {"copy": Plain, "template": Template, "named": Named}
+
+
 class Benchmark:
-    """Window hashes of a slice of items, for both streams."""
+    """Window hashes of a slice of items, for all streams."""
 
     def __init__(self, ids: list[int], texts: list[str]):
         self.ids = ids
         self.words = words(texts)
-        self.streams = {"template": Template(self.words), "copy": Plain(self.words)}
+        self.streams = {kind: make(self.words) for kind, make in STREAMS.items()}
         self.size: dict[str, np.ndarray] = {}
         self.index: dict[tuple[str, int], tuple[np.ndarray, ...]] = {}
         for kind, t in self.streams.items():
@@ -125,7 +146,7 @@ class Benchmark:
                 begun = np.concatenate([[True], item[1:] != item[:-1]])
                 run = np.arange(len(item)) - np.maximum.accumulate(np.where(begun, np.arange(len(item)), 0))
                 at = t.first[item] + run
-                if kind == "template":  # a window needs literal words, at least half
+                if kind != "copy":  # a window needs literal words, at least half
                     literal = np.concatenate([[0], np.cumsum(t.code >= 16)])
                     enough = (literal[at + k] - literal[at]) * 2 >= k
                     item, at = item[enough], at[enough]
@@ -144,7 +165,7 @@ def matches(benchmark: Benchmark, texts: list[str]) -> list[tuple[int, int, int,
     if not len(w.hash):
         return []
     found: dict[tuple[int, int], tuple] = {}
-    for kind, make in (("copy", Plain), ("template", Template)):
+    for kind, make in STREAMS.items():
         t = make(w)
         own = benchmark.streams[kind]
         owner = np.repeat(np.arange(len(texts)), np.diff(t.first))
@@ -168,7 +189,7 @@ def matches(benchmark: Benchmark, texts: list[str]) -> list[tuple[int, int, int,
             coverage = covered / max(1, int(benchmark.size[kind][item]))
             agreement = 1.0 if kind == "copy" else _agreement(t, own, seen)
             if coverage >= COVERAGE and agreement >= CONSISTENT:
-                found[doc, item] = (doc, item, covered, coverage, agreement, kind)
+                found[doc, item] = (doc, item, covered, coverage, agreement, "copy" if kind == "copy" else "template")
     return list(found.values())
 
 

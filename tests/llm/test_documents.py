@@ -183,6 +183,25 @@ def test_slots_must_agree(spark):
     assert found(spark, [good, bad], [item]) == [(0, 0, "template")]
 
 
+def test_names_at_the_start_of_sentences():
+    items = [
+        "Ann has 12 marbles. Bob has 7 marbles. Cid has 5 marbles. How many in all?",
+        "Tom, Eva (Max) and \"Kim\" pick 9 apples. Tom eats 2 of the apples. Is it Eva or Max who has more?",
+    ]
+    texts = [
+        "Dan has 3 marbles. Eve has 19 marbles. Fay has 8 marbles. How many in all?",
+        "Joe, Lea (Ian) and \"Pia\" pick 7 apples. Joe eats 4 of the apples. Is it Lea or Ian who has more?",
+        "Sum it up: Dan has 3 marbles. Eve has 19 marbles. Fay has 8 marbles. How many in all?",
+        "Dan sold 3 marbles. Eve lost 19 pears. Fay found 8 coins. How many in all?",
+    ]
+    held = decontaminate.Benchmark([0, 1], items)
+    assert sorted((d, i, kind) for d, i, *_, kind in decontaminate.matches(held, texts)) == [
+        (0, 0, "template"),
+        (1, 1, "template"),
+        (2, 0, "template"),
+    ]
+
+
 def test_slices_find_the_same(spark):
     docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
     items = spark.read.parquet(f"{SF_DIR}/benchmark.parquet")
