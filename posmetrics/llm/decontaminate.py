@@ -12,8 +12,14 @@ The benchmark is the stated query set. It is taken in slices of bounded size, ea
 all tasks that read documents; documents are never shuffled. Matches are compared by
 their words, so an equal hash alone proves nothing.
 
+A template window is looked for if at least half of its codes are words, and only such
+windows count for an item's coverage. Where an item has none, or its template has fewer than
+``SHORTEST`` codes, its template must be there as a whole; one shorter than a window also
+needs as many numbers in every place.
+
 Defined cases: a null or empty text, or one shorter than a window, matches nothing; items
-shorter than a window match as a whole from ``SHORTEST`` words on, shorter ones never;
+shorter than a window match as a whole from ``SHORTEST`` words on, shorter ones never; an
+item of placeholders only matches as a copy;
 null items are left out; repeated rows and items each report their own matches; an empty
 table on either side gives no match; other columns are ignored.
 """
@@ -34,7 +40,7 @@ from posmetrics.llm.words import Words, windows, words
 
 WIDTH = 8  # words of a window
 SHORTEST = 4  # words of the shortest item that is looked for
-COVERAGE = 0.3  # share of an item's windows that a document must hold
+COVERAGE = 0.3  # share of an item's windows in the index that a document must hold
 CONSISTENT = 0.8  # share of slots that must agree
 SLICE = 20_000_000  # characters of benchmark items sent to the tasks at a time
 PIECE = 1_000_000
@@ -106,6 +112,15 @@ class Template:
         return " ".join(self.source.text(k).lower() for k in range(self.at[i], self.until[i]))
 
 
+    def numbers(self, i: int) -> int:
+        """How many numbers a placeholder stands for; a sign inside a number parts nothing."""
+        if self.code[i] != NUMBER:
+            return 0
+        w, k = self.source, np.arange(self.at[i] + 1, self.until[i])
+        inside = (w.start[k] - w.end[k - 1] == 1) & np.isin(w.raw[w.end[k - 1]], (44, 46))
+        return 1 + int((~inside).sum())
+
+
 class Named(Template):
     """Template in which a capitalised word is a name wherever it stands."""
 
@@ -134,11 +149,15 @@ class Benchmark:
         self.streams = {kind: make(self.words) for kind, make in STREAMS.items()}
         self.size: dict[str, np.ndarray] = {}
         self.index: dict[tuple[str, int], tuple[np.ndarray, ...]] = {}
+        # items without a window that holds enough words, by the codes they begin with
+        self.whole: dict[tuple[str, int], tuple[np.ndarray, ...]] = {}
+        long_enough = np.diff(self.words.first) >= SHORTEST
         for kind, t in self.streams.items():
             length = np.diff(t.first)
             width = np.minimum(length, WIDTH)
             width[length < SHORTEST] = 0
-            self.size[kind] = np.where(width > 0, length - width + 1, 0)
+            self.size[kind] = np.zeros(len(length), np.int64)  # windows in the index
+            literal = np.concatenate([[0], np.cumsum(t.code >= 16)])
             for k in np.unique(width[width > 0]).tolist():
                 item = np.repeat(np.arange(len(length)), np.where(width == k, length - k + 1, 0))
                 if not len(item):
@@ -147,16 +166,42 @@ class Benchmark:
                 run = np.arange(len(item)) - np.maximum.accumulate(np.where(begun, np.arange(len(item)), 0))
                 at = t.first[item] + run
                 if kind != "copy":  # a window needs literal words, at least half
-                    literal = np.concatenate([[0], np.cumsum(t.code >= 16)])
                     enough = (literal[at + k] - literal[at]) * 2 >= k
                     item, at = item[enough], at[enough]
                     if not len(item):
                         continue
-                hashes = windows(t.code, k)[at]
-                order = np.argsort(hashes, kind="stable")
-                bits = np.zeros(2**20, bool)
-                bits[hashes & np.uint64(2**20 - 1)] = True
-                self.index[kind, k] = (hashes[order], item[order], at[order], bits)
+                self.size[kind] += np.bincount(item, minlength=len(length))
+                self.index[kind, k] = _sorted(t.code, k, item, at)
+            some = long_enough & (self.size[kind] == 0) & (literal[t.first[1:]] > literal[t.first[:-1]])
+            if kind == "named":  # short templates of this kind say too little
+                some &= length >= WIDTH
+            begun = np.minimum(length, WIDTH)
+            for k in np.unique(begun[some]).tolist() if kind != "copy" else ():
+                item = np.flatnonzero(some & (begun == k))
+                self.whole[kind, k] = _sorted(t.code, k, item, t.first[item])
+
+
+def _sorted(code: np.ndarray, width: int, item: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Windows ordered by hash, and the hashes' last bits for a quick look."""
+    hashes = windows(code, width)[at]
+    order = np.argsort(hashes, kind="stable")
+    bits = np.zeros(2**20, bool)
+    bits[hashes & np.uint64(2**20 - 1)] = True
+    return hashes[order], item[order], at[order], bits
+
+
+def _equal(entry: tuple[np.ndarray, ...], width: int, t: Template, own: Template, owner: np.ndarray):
+    """(place in the texts, item, place in the items) of windows of the same codes."""
+    hashes, item, at, bits = entry
+    mine = windows(t.code, width)
+    maybe = np.flatnonzero(bits[mine & np.uint64(2**20 - 1)])
+    maybe = maybe[owner[maybe] == owner[maybe + width - 1]]
+    lo = np.searchsorted(hashes, mine[maybe], "left")
+    hi = np.searchsorted(hashes, mine[maybe], "right")
+    for p, a, b in zip(maybe[hi > lo].tolist(), lo[hi > lo].tolist(), hi[hi > lo].tolist()):
+        for j in range(a, b):
+            if np.array_equal(t.code[p : p + width], own.code[at[j] : at[j] + width]):
+                yield p, int(item[j]), int(at[j])
 
 
 def matches(benchmark: Benchmark, texts: list[str]) -> list[tuple[int, int, int, float, float, str]]:
@@ -170,18 +215,10 @@ def matches(benchmark: Benchmark, texts: list[str]) -> list[tuple[int, int, int,
         own = benchmark.streams[kind]
         owner = np.repeat(np.arange(len(texts)), np.diff(t.first))
         hits: dict[tuple[int, int], list[tuple[int, int, int]]] = defaultdict(list)
-        for (k, width), (hashes, item, at, bits) in benchmark.index.items():
-            if k != kind:
-                continue
-            mine = windows(t.code, width)
-            maybe = np.flatnonzero(bits[mine & np.uint64(2**20 - 1)])
-            maybe = maybe[owner[maybe] == owner[maybe + width - 1]]
-            lo = np.searchsorted(hashes, mine[maybe], "left")
-            hi = np.searchsorted(hashes, mine[maybe], "right")
-            for p, a, b in zip(maybe[hi > lo].tolist(), lo[hi > lo].tolist(), hi[hi > lo].tolist()):
-                for j in range(a, b):
-                    if np.array_equal(t.code[p : p + width], own.code[at[j] : at[j] + width]):
-                        hits[int(owner[p]), int(item[j])].append((p, int(at[j]), width))
+        for (k, width), entry in benchmark.index.items():
+            if k == kind:
+                for p, item, a in _equal(entry, width, t, own, owner):
+                    hits[int(owner[p]), item].append((p, a, width))
         for (doc, item), seen in hits.items():
             if (doc, item) in found:
                 continue
@@ -190,6 +227,20 @@ def matches(benchmark: Benchmark, texts: list[str]) -> list[tuple[int, int, int,
             agreement = 1.0 if kind == "copy" else _agreement(t, own, seen)
             if coverage >= COVERAGE and agreement >= CONSISTENT:
                 found[doc, item] = (doc, item, covered, coverage, agreement, "copy" if kind == "copy" else "template")
+        for (k, width), entry in benchmark.whole.items():
+            if k != kind:
+                continue
+            for p, item, a in _equal(entry, width, t, own, owner):
+                doc, n = int(owner[p]), int(own.first[item + 1]) - a
+                if (doc, item) in found or p + n > t.first[doc + 1]:
+                    continue
+                if not np.array_equal(t.code[p : p + n], own.code[a : a + n]):
+                    continue
+                if n < WIDTH and any(t.numbers(p + i) != own.numbers(a + i) for i in range(n)):
+                    continue
+                agreement = _agreement(t, own, [(p, a, n)])
+                if agreement >= CONSISTENT:
+                    found[doc, item] = (doc, item, 1, 1.0, agreement, "template")
     return list(found.values())
 
 

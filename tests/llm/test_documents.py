@@ -202,6 +202,29 @@ def test_names_at_the_start_of_sentences():
     ]
 
 
+def test_items_dense_in_slots():
+    items = [
+        "Add 3 kg of Rice 4 kg of Beans 5 kg of Corn 6 kg of Oats",
+        "What is 5 + 7?",
+        "Now 7 km 5 kg 3 cm 4 mm by 5 kg 3 cm by 4 mm 9 km so that every one of the parts is equal",
+        "1 2 3 4 5 6",
+    ]
+    texts = [
+        "Please add 7 kg of Salt 9 kg of Flour 2 kg of Sugar 8 kg of Peas now",
+        "add 7 kg of Salt 9 kg of Flour 2 kg of Sugar",
+        "Tell me: what is 1,200 + 9?",
+        "what is 3 to you",
+        "numbers 9 8 7 6 5 4",
+        "so that every one of the parts is equal",
+    ]
+    held = decontaminate.Benchmark([0, 1, 2, 3], items)
+    got = sorted((d, i, kind) for d, i, *_, kind in decontaminate.matches(held, texts))
+    assert [r for r in got if r[1] < 2] == [(0, 0, "template"), (2, 1, "template")]
+    assert (5, 2, "copy") not in got and not [r for r in got if r[1] == 3]
+    # only windows in the index count
+    assert held.size["template"][2] < np.diff(held.streams["template"].first)[2] - decontaminate.WIDTH + 1
+
+
 def test_slices_find_the_same(spark):
     docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
     items = spark.read.parquet(f"{SF_DIR}/benchmark.parquet")
