@@ -7,7 +7,10 @@ against them: who links to a blocked host shares its name. A host is blocked whe
 is at least ``THRESHOLD`` of both together.
 
 Edges are summed per pair of hosts before anything is joined, so a host with very many
-pages or links is one row per partner. Each few steps are written to the shared folder.
+pages or links is one row per partner. Each few steps are written to the shared folder and
+compared with the ranks written before, until no host is new and no rank has changed by more
+than ``TOLERANCE`` of it; so hosts at any distance are reached, and small ranks are as exact
+as large ones. Damping makes it end.
 
 Defined cases: a null url, or one without ``://``, has an empty host and path, no rule, and
 is allowed; a null or empty page has no links; hosts that nothing reaches are allowed;
@@ -30,7 +33,7 @@ RULES = (
     ("allow", "org", "/fr/"),
 )
 DAMPING = 0.85
-STEPS = 8
+TOLERANCE = 1e-6  # least change of a rank, as a share of it, for which it goes on
 WRITE_EVERY = 4
 THRESHOLD = 0.5
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -72,9 +75,16 @@ def host_edges(pages: DataFrame, url_col: str = "url", html_col: str = "html") -
     )
 
 
-def propagate(edges: DataFrame, seeds: DataFrame, steps: int = STEPS, damping: float = DAMPING) -> DataFrame:
-    """Ranks ``kind, host, rank`` after so many steps. ``seeds``: kind, host, share (shares
-    of a kind sum to 1). Both kinds go in one pass; distrust runs on reversed edges."""
+def propagate(
+    edges: DataFrame,
+    seeds: DataFrame,
+    steps: int | None = None,
+    damping: float = DAMPING,
+    tolerance: float = TOLERANCE,
+) -> DataFrame:
+    """Ranks ``kind, host, rank``, until they have settled or after so many steps.
+    ``seeds``: kind, host, share (shares of a kind sum to 1). Both kinds go in one pass;
+    distrust runs on reversed edges."""
     both = edges.select(F.lit("trust").alias("kind"), "src", "dst", "weight").unionAll(
         edges.select(F.lit("distrust").alias("kind"), "dst", "src", "weight")
     )
@@ -83,18 +93,32 @@ def propagate(edges: DataFrame, seeds: DataFrame, steps: int = STEPS, damping: f
         both.join(sent, ["kind", "src"]).select("kind", "src", "dst", (F.col("weight") / F.col("total")).alias("part")),
         "links",
     )
-    start = written(seeds.select("kind", "host", (F.col("share") * (1 - damping)).alias("rank")), "seeds")
-    rank = seeds.select("kind", "host", F.col("share").alias("rank"))
-    for step in range(steps):
+    seeds = written(seeds.select("kind", "host", "share"), "seeds")
+    start = seeds.select("kind", "host", (F.col("share") * (1 - damping)).alias("rank"))
+    # undamped at first, so what has not settled yet is larger than it will be
+    rank = last = seeds.select("kind", "host", F.col("share").alias("rank"))
+    step = 0
+    while step != steps:
         passed = rank.withColumnRenamed("host", "src").join(share, ["kind", "src"]).select(
             "kind", F.col("dst").alias("host"), (F.col("rank") * F.col("part") * damping).alias("rank")
         )
         rank = passed.unionAll(start).groupBy("kind", "host").agg(F.sum("rank").alias("rank"))
-        if (step + 1) % WRITE_EVERY == 0:
+        step += 1
+        if step % WRITE_EVERY == 0:
             rank = written(rank, "ranks")
+            if steps is None and _change(last, rank) <= tolerance:
+                break
+            last = rank
     return rank
 
 
+def _change(before: DataFrame, after: DataFrame) -> float:
+    """The largest change of a rank as a share of it, 1 for a host that is new."""
+    old = before.select("kind", "host", F.col("rank").alias("old"))
+    moved = F.abs(F.col("rank") - F.coalesce("old", F.lit(0.0))) / F.col("rank")
+    return after.join(old, ["kind", "host"], "left").agg(F.max(moved)).first()[0] or 0.0
+
+
 def judge(
     pages: DataFrame,
     rules=RULES,

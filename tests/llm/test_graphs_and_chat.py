@@ -140,6 +140,28 @@ def test_propagation_is_personalised_pagerank(spark):
             assert got.get((kind, h), 0) == pytest.approx(rank[h])
 
 
+def test_propagation_settles(spark):
+    """A chain longer than any fixed number of steps so far, with a cycle at its start."""
+    n = 14
+    names = [f"h{i:02}" for i in range(n)]
+    links = [*zip(names, names[1:]), ("h02", "h00"), ("h03", "h01"), ("h01", "side")]
+    edges = spark.createDataFrame([(a, b, 1.0) for a, b in links], "src string, dst string, weight double")
+    seeds = spark.createDataFrame([("trust", "h00", 1.0), ("distrust", names[-1], 1.0)], "kind string, host string, share double")
+    got = {(r.kind, r.host): r.rank for r in url_filter.propagate(edges, seeds).collect()}
+    hosts = sorted({h for pair in links for h in pair})
+    at = {h: i for i, h in enumerate(hosts)}
+    for kind, first in (("trust", "h00"), ("distrust", names[-1])):
+        m = np.zeros((len(hosts), len(hosts)))
+        for a, b in links:
+            src, dst = (a, b) if kind == "trust" else (b, a)
+            m[at[dst], at[src]] = 1
+        m /= np.maximum(1, m.sum(0))
+        seed = np.eye(len(hosts))[at[first]]
+        settled = np.linalg.solve(np.eye(len(hosts)) - 0.85 * m, 0.15 * seed)
+        for h in hosts:
+            assert got.get((kind, h), 0) == pytest.approx(settled[at[h]], rel=1e-5, abs=1e-15)
+
+
 def test_native_plans_have_no_python(spark):
     for name in ("op2_personal_data", "op3_url_filter", "op4_chat_format"):
         plan = plan_of(entry.queries()[name](spark, SF_DIR))
