@@ -6,7 +6,8 @@ windows of the benchmark items, which finds questions that were given new number
 names. A capitalised word inside a sentence is a name; where a sentence may begin it can be
 one or not, so templates of both readings are joined. A match counts only if the slots agree: one value of the item must stand for one
 value of the document wherever it occurs. Plain windows of words are joined too, so that
-a copy is found whatever its formatting does to the placeholders.
+a copy is found whatever its formatting does to the placeholders. A document holds an item
+if it has the share ``COVERAGE`` of its windows, or one run of ``RUN`` words or codes of it.
 
 The benchmark is the stated query set. It is taken in slices of bounded size, each sent to
 all tasks that read documents; documents are never shuffled. Matches are compared by
@@ -41,6 +42,7 @@ from posmetrics.llm.words import Words, windows, words
 WIDTH = 8  # words of a window
 SHORTEST = 4  # words of the shortest item that is looked for
 COVERAGE = 0.3  # share of an item's windows in the index that a document must hold
+RUN = 24  # words of an item in a row that are enough, however long it is
 CONSISTENT = 0.8  # share of slots that must agree
 SLICE = 20_000_000  # characters of benchmark items sent to the tasks at a time
 PIECE = 1_000_000
@@ -224,9 +226,12 @@ def matches(benchmark: Benchmark, texts: list[str]) -> list[tuple[int, int, int,
                 continue
             covered = len({a for _, a, _ in seen})
             coverage = covered / max(1, int(benchmark.size[kind][item]))
-            agreement = 1.0 if kind == "copy" else _agreement(t, own, seen)
-            if coverage >= COVERAGE and agreement >= CONSISTENT:
+            for part in ([seen] if coverage >= COVERAGE else []) + _runs(seen):
+                agreement = 1.0 if kind == "copy" else _agreement(t, own, part)
+                if agreement < CONSISTENT:
+                    continue
                 found[doc, item] = (doc, item, covered, coverage, agreement, "copy" if kind == "copy" else "template")
+                break
         for (k, width), entry in benchmark.whole.items():
             if k != kind:
                 continue
@@ -244,6 +249,17 @@ def matches(benchmark: Benchmark, texts: list[str]) -> list[tuple[int, int, int,
     return list(found.values())
 
 
+def _runs(seen: list[tuple[int, int, int]]) -> list[list[tuple[int, int, int]]]:
+    """Windows of each run of at least ``RUN`` codes on one diagonal."""
+    runs: list[list[tuple[int, int, int]]] = []
+    last = None
+    for p, a, width in sorted(seen, key=lambda x: (x[0] - x[1], x[1])):
+        if last is None or last[0] - last[1] != p - a or a > last[1] + last[2]:
+            runs.append([])
+        runs[-1].append(last := (p, a, width))
+    return [r for r in runs if r[-1][1] + r[-1][2] - r[0][1] >= RUN]
+
+
 def _agreement(doc: Template, item: Template, seen: list[tuple[int, int, int]]) -> float:
     """Share of slot occurrences whose value is the usual one for the item's value; each
     run of windows that lie on one diagonal has values of its own."""

@@ -225,6 +225,19 @@ def test_items_dense_in_slots():
     assert held.size["template"][2] < np.diff(held.streams["template"].first)[2] - decontaminate.WIDTH + 1
 
 
+@pytest.mark.parametrize("n", [200, 400])
+def test_a_long_run_of_a_long_item(n):
+    words = [f"w{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(n)]
+    words[60:80] = "so Tom takes 5 of the pears and then Eva takes 7 of the plums that he left in there".split()
+    passage = " ".join(words[45:90])
+    other = passage.replace("Tom", "Max").replace("Eva", "Lea").replace("5", "6").replace("7", "9")
+    scattered = " and ".join(" ".join(words[i : i + 12]) for i in range(0, 48, 12))
+    texts = [f"before it {passage} after it", f"before it {other} after it", f"before it {scattered} after it"]
+    held = decontaminate.Benchmark([0], [" ".join(words)])
+    got = [(d, i, kind) for d, i, *_, kind in decontaminate.matches(held, texts)]
+    assert got == [(0, 0, "copy"), (1, 0, "template")]
+
+
 def test_slices_find_the_same(spark):
     docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
     items = spark.read.parquet(f"{SF_DIR}/benchmark.parquet")
