@@ -9,6 +9,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from posmetrics.session import shared_root
 
@@ -53,6 +54,17 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def expanded(df: DataFrame, count: str, number: str) -> DataFrame:
+    """Every row ``count`` times, numbered from 0 in ``number``; no range that is made for
+    it holds more than 65,536 numbers."""
+    wide = 1 << 16
+    last = F.col(count) - 1
+    high = F.sequence(F.lit(0).cast("long"), F.floor(last / wide))
+    low = F.sequence(F.lit(0).cast("long"), F.least(F.lit(wide - 1).cast("long"), last - F.col("_high") * wide))
+    each = df.withColumn("_high", F.explode(high)).withColumn("_low", F.explode(low))
+    return each.withColumn(number, F.col("_high") * wide + F.col("_low")).drop("_high", "_low")
+
+
 def texts_of(column: pa.Array | pa.ChunkedArray) -> list[str]:
     """Texts of an Arrow column, null as the empty text."""
     return ["" if t is None else t for t in column.to_pylist()]

@@ -8,6 +8,7 @@ from posmetrics.llm import (
     decontaminate,
     embedding_dedup,
     language,
+    merkle,
     minhash_dedup,
     personal_data,
     token_counts,
@@ -26,6 +27,7 @@ QUERIES = {
     "op8_token_counts": token_counts.op8_token_counts,
     "op9_decontamination": decontaminate.op9_decontamination,
     "op10_byte_bpe": byte_bpe.op10_byte_bpe,
+    "op13_merkle": merkle.op13_merkle,
 }
 
-ORACLE: dict[str, str] = {"op4_chat_format": chat.OP4_SQL}
+ORACLE: dict[str, str] = {"op4_chat_format": chat.OP4_SQL, "op13_merkle": merkle.OP13_SQL}
