@@ -398,9 +398,9 @@ leaves AS (
   SELECT lvl + 1, idx // 2, sha256(string_agg(h, '' ORDER BY idx)), (any_value(n) + 1) // 2
   FROM over WHERE n > 1 GROUP BY lvl, idx // 2
 ), tree AS (  -- one tree for each language: its own levels, then those above
-  SELECT g, lvl, idx, h FROM nodes
+  SELECT g, lvl, idx, h FROM nodes WHERE n > 1
   UNION ALL
-  SELECT t.g, t.depth + o.lvl, o.idx, o.h FROM tops t, over o WHERE o.lvl > 0 OR o.idx <> t.idx
+  SELECT t.g, t.depth + o.lvl, o.idx, o.h FROM tops t, over o
 ), ends AS (
   SELECT t.g, t.depth, t.idx AS place, t.h AS subroot, (SELECT max(lvl) FROM over) AS more,
          (SELECT h FROM over WHERE n = 1) AS root
