@@ -10,6 +10,7 @@ from posmetrics.llm import (
     language,
     merkle,
     minhash_dedup,
+    mixing,
     personal_data,
     token_counts,
     token_files,
@@ -27,7 +28,12 @@ QUERIES = {
     "op8_token_counts": token_counts.op8_token_counts,
     "op9_decontamination": decontaminate.op9_decontamination,
     "op10_byte_bpe": byte_bpe.op10_byte_bpe,
+    "op12_mixing": mixing.op12_mixing,
     "op13_merkle": merkle.op13_merkle,
 }
 
-ORACLE: dict[str, str] = {"op4_chat_format": chat.OP4_SQL, "op13_merkle": merkle.OP13_SQL}
+ORACLE: dict[str, str] = {
+    "op4_chat_format": chat.OP4_SQL,
+    "op12_mixing": mixing.OP12_SQL,
+    "op13_merkle": merkle.OP13_SQL,
+}
