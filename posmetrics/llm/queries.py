@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from posmetrics.llm import (
+    alignment,
     byte_bpe,
     chat,
     decontaminate,
@@ -28,6 +29,7 @@ QUERIES = {
     "op8_token_counts": token_counts.op8_token_counts,
     "op9_decontamination": decontaminate.op9_decontamination,
     "op10_byte_bpe": byte_bpe.op10_byte_bpe,
+    "op11_alignment": alignment.op11_alignment,
     "op12_mixing": mixing.op12_mixing,
     "op13_merkle": merkle.op13_merkle,
 }
