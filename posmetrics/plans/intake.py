@@ -20,10 +20,8 @@ DEFAULT_ZONE = "Asia/Manila"
 ERRORS = "_errors"
 # text and kind (record or page) of what a row was made of; names of fields of a wrong type
 BODY, KIND, TYPES = "_body", "_kind", "_types"
-
-_STORE_SETTINGS = (
-    "store_id STRING, available_for_sale BOOLEAN, optimal_stock DOUBLE, low_stock_threshold DOUBLE"
-)
+# names of the columns and arrays that a record has, see accepted
+GIVEN = "_given"
 
 
 def _parsed(pages: DataFrame, spec: Resource, column: str) -> DataFrame:
@@ -45,7 +43,30 @@ def _exploded(pages: DataFrame, resource: str, column: str) -> DataFrame:
     kind = F.when(F.col("_bare"), "page").otherwise("record")
     text = F.when(F.col("_bare"), F.col("page")).otherwise(F.coalesce("col", F.lit("null")))
     record = F.from_json("col", RESOURCES[resource].record_ddl)
-    return told.select(kind.alias(KIND), text.alias(BODY), record.alias("r")).select(KIND, BODY, "r.*")
+    rows = told.select(kind.alias(KIND), text.alias(BODY), record.alias("r")).select(KIND, BODY, "r.*")
+    return _with_lists(rows, RESOURCES[resource])
+
+
+def _with_lists(rows: DataFrame, spec: Resource) -> DataFrame:
+    """Arrays in place of their texts: links as texts, nested rows with all fields as text.
+
+    ``_types`` names arrays that are no list and lists with an element that is no object.
+    """
+    nested = {x.array: x for x in spec.nested}
+    arrays = [x.array for x in (*spec.links, *spec.nested)]
+    rows = rows.withColumns({f"_list_{a}": F.from_json(a, "ARRAY<STRING>") for a in arrays})
+    given = lambda a: F.col(a).isNotNull() & (F.col(a) != "null")
+    wrong = [F.when(given(a) & F.col(f"_list_{a}").isNull(), F.lit(f"{a} is no list")) for a in arrays]
+    out = {}
+    for a in arrays:
+        each = F.col(f"_list_{a}")
+        if a not in nested:
+            out[a] = each
+            continue
+        out[a], odd = _elements(each, nested[a])
+        wrong.append(F.when(odd, F.lit(f"{a} holds what is no object")))
+    rows = rows.withColumns({**out, TYPES: F.array_compact(F.array(*wrong)) if wrong else F.array().cast("array<string>")})
+    return rows.drop(*(f"_list_{a}" for a in arrays))
 
 
 def records(pages: DataFrame, resource: str, column: str = "value") -> DataFrame:
@@ -56,7 +77,20 @@ def records(pages: DataFrame, resource: str, column: str = "value") -> DataFrame
         name = {column: raw for raw, column in spec.renames.items()}.get(field.name, field.name)
         if isinstance(field.dataType, (T.NumericType, T.BooleanType)):
             out[name] = _typed(F.col(name), field.dataType, DEFAULT_ZONE)[0]
-    return each.withColumns(out).drop(KIND, BODY)
+    return each.withColumns(out).drop(KIND, BODY, TYPES)
+
+
+def _elements(texts: Column, x: Nested) -> tuple[Column, Column]:
+    """Nested rows of a list of JSON texts, and whether one of these is no object."""
+
+    def text(e: Column) -> Column:
+        whole = F.when(F.startswith(e, F.lit("{")), e)
+        if x.bare:
+            whole = whole.otherwise(F.when(e.isNotNull(), F.to_json(F.struct(e.alias(x.bare)))))
+        return whole
+
+    rows = F.transform(texts, lambda e: F.from_json(text(e), x.text_ddl))
+    return rows, F.exists(texts, lambda e: text(e).isNull())
 
 
 def _why_unreadable(resource: str, page: str) -> Column:
@@ -132,9 +166,47 @@ def clean(
         if (resource, name) == ("receipts", "id"):
             c = F.coalesce(c, F.col("receipt_number"))
         out.append(c.alias(name))
-    arrays = [x.array for x in (*spec.links, *spec.nested)]
+    arrays = [F.col(x.array) for x in spec.links]
+    for x in spec.nested:
+        elements, odd = _typed_elements(x, zone)
+        arrays.append(elements.alias(x.array))
+        wrong += odd
     kept = [x for x in (KIND, BODY) if x in raw.columns]
-    return raw.select(*out, *arrays, F.array_compact(F.array(*wrong)).alias(TYPES), *kept)
+    types = F.array_compact(F.array(*wrong))
+    if TYPES in raw.columns:
+        types = F.concat(F.col(TYPES), types)
+    return raw.select(*out, *arrays, types.alias(TYPES), *kept)
+
+
+def _typed_elements(x: Nested, zone: str) -> tuple[Column, list[Column]]:
+    """Nested rows with typed fields, times still as text, and what to call each field that
+    some element has in a wrong type."""
+    table, fields = TABLES[x.table].schema, x.fields
+    kinds = {f.name: table[f.name].dataType if f.name in table.fieldNames() else f.dataType for f in fields}
+
+    def typed(e: Column) -> Column:
+        values = []
+        for f in fields:
+            c = e[f.name]
+            if not isinstance(kinds[f.name], (T.TimestampNTZType, T.StringType)):
+                c = _typed(c, f.dataType, zone)[0]
+            values.append(c.alias(f.name))
+        return F.struct(*values)
+
+    def odd(name: str) -> tuple[Column, str | None]:
+        what = _typed(F.lit(None).cast("string"), kinds[name], zone)[1]
+
+        def wrong(e: Column) -> Column:
+            c = e[name]
+            blank = F.trim(c).isin("", "null") if what == "no time" else F.lit(False)
+            return c.isNotNull() & ~blank & _typed(c, kinds[name], zone)[0].isNull()
+
+        return F.exists(x.array, wrong), what
+
+    found = [(name, *odd(name)) for name in kinds if not isinstance(kinds[name], T.StringType)]
+    return F.transform(x.array, typed), [
+        F.when(broken, F.lit(f"{x.array} {name} is {what}")) for name, broken, what in found
+    ]
 
 
 def _rules(resource: str) -> dict[str, Column]:
@@ -174,12 +246,29 @@ def judged(
     column: str = "value",
 ) -> DataFrame:
     """Cleaned and checked records, and unreadable pages, from one parse of the pages."""
-    return check(clean(_exploded(pages, resource, column), resource, now, zone), resource)
+    return _sealed(check(clean(_exploded(pages, resource, column), resource, now, zone), resource))
+
 
+def _sealed(df: DataFrame) -> DataFrame:
+    """``df`` behind a boundary that no filter is pushed below: a filter on what was parsed
+    would be pushed with a copy of the parsing for each rule that it stands for."""
+    whole = F.struct(*(F.col(c) for c in df.columns))
+    return df.select(F.explode_outer(F.array(whole)).alias("_row")).select("_row.*")
 
-def accepted(judged: DataFrame) -> DataFrame:
-    """The valid records."""
-    return judged.filter(F.size(ERRORS) == 0).drop(ERRORS, KIND, BODY)
+
+def accepted(judged: DataFrame, partial: str | None = None) -> DataFrame:
+    """The valid records. ``partial``, the name of their resource, adds ``_given``: the names
+    of the columns and arrays that each record has, a null being one. ``updated_at`` always
+    counts as given where it is set at loading."""
+    good = judged.filter(F.size(ERRORS) == 0)
+    if partial:
+        resource = RESOURCES[partial]
+        name = lambda k: F.coalesce(F.element_at(F.create_map(*names), k), k)
+        names = [F.lit(x) for pair in (resource.renames or {"": ""}).items() for x in pair]
+        given = F.transform(F.json_object_keys(BODY), name)
+        stamped = [F.lit(c) for c in resource.stamped if c == "updated_at"]
+        good = good.withColumn(GIVEN, F.array_union(given, F.array(*stamped).cast("array<string>")))
+    return good.drop(ERRORS, KIND, BODY)
 
 
 def refused(judged: DataFrame) -> DataFrame:
@@ -247,16 +336,6 @@ def _split_nested(
 ) -> DataFrame:
     table = TABLES[nested.table]
     elements = F.col(nested.array)
-    if nested.struct == "STRING":
-        elements = F.transform(
-            elements,
-            lambda e: F.from_json(
-                F.when(F.startswith(e, F.lit("{")), e).otherwise(
-                    F.to_json(F.struct(e.alias("store_id")))
-                ),
-                _STORE_SETTINGS,
-            ),
-        )
     if nested.numbered:
         rows = good.select(
             F.col(key).alias(table.owner), *carried, F.posexplode(elements).alias("_at", "_e")

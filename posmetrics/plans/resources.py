@@ -6,6 +6,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from posmetrics.sources.schemas import TABLES
 
@@ -32,6 +33,16 @@ class Nested:
     defaults: dict = field(default_factory=dict)
     numbered: bool = False
     needs: tuple[str, ...] = ()
+    bare: str | None = None  # field that an element which is no object stands for
+
+    @property
+    def fields(self) -> T.StructType:
+        return T.StructType.fromDDL(self.struct)
+
+    @property
+    def text_ddl(self) -> str:
+        """An element with all its fields as text."""
+        return ", ".join(f"{f.name} STRING" for f in self.fields)
 
 
 @dataclass(frozen=True)
@@ -57,8 +68,7 @@ class Resource:
 
     @property
     def record_ddl(self) -> str:
-        """The raw record: scalars are text, so that a wrong type can be told; arrays as
-        they come."""
+        """The raw record: everything is text, so that a wrong type can be told."""
         back = {column: raw for raw, column in self.renames.items()}
         parts = []
         for f in TABLES[self.name].schema.fields:
@@ -66,11 +76,7 @@ class Resource:
             if (self.name, f.name) == ("merchant", "currency"):
                 kind = "STRUCT<code: STRING>"
             parts.append(f"{back.get(f.name, f.name)} {kind}")
-        parts += [f"{x.array} ARRAY<STRING>" for x in self.links]
-        parts += [
-            f"{x.array} ARRAY<{x.struct if x.struct == 'STRING' else f'STRUCT<{x.struct}>'}>"
-            for x in self.nested
-        ]
+        parts += [f"{x.array} STRING" for x in (*self.links, *self.nested)]
         return ", ".join(parts)
 
     def extra_rules(self) -> dict[str, Column]:
@@ -87,12 +93,14 @@ class Resource:
             )
         for x in self.nested:
             for column in x.needs:
-                rules[f"{x.array} {column} missing"] = _any_missing(x.array, column)
+                rules[f"{x.array} {column} missing"] = _any_missing(x, column)
         return rules
 
 
-def _any_missing(array: str, column: str) -> Column:
-    return F.exists(array, lambda r: r[column].isNull())
+def _any_missing(x: Nested, column: str) -> Column:
+    # a field of a wrong type is not missing, and has been named already
+    missing = F.exists(x.array, lambda r: r.isNotNull() & r[column].isNull())
+    return missing & ~F.exists("_types", lambda t: t.startswith(f"{x.array} {column} is "))
 
 
 _AUDITED = ("id", "name", "created_at", "updated_at")
@@ -209,7 +217,14 @@ RESOURCES: dict[str, Resource] = {
             },
             # an element is either a store's id or an object with its settings
             nested=(
-                Nested("variant_store", "stores", "STRING", defaults={"available_for_sale": True}),
+                Nested(
+                    "variant_store",
+                    "stores",
+                    "store_id STRING, available_for_sale BOOLEAN, optimal_stock DOUBLE, "
+                    "low_stock_threshold DOUBLE",
+                    defaults={"available_for_sale": True},
+                    bare="store_id",
+                ),
             ),
         ),
         Resource(
