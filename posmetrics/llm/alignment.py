@@ -1,6 +1,7 @@
 """Where two tokenizers agree: tokens of A and B cut into groups at the bytes both end at.
 
-A task tokenizes texts and lays those of a bundle end to end, so that the token ends of A
+A task tokenizes texts, stretch by stretch where neither tokenizer can join two, and lays
+those of a bundle end to end, so that the token ends of A
 and of B are two increasing lists of byte offsets. Merging them is divided along the merge
 path: at diagonals of equal distance a binary search finds how many ends of A and how many
 of B lie before, all searches at once, and between two diagonals lies a piece of equal
@@ -21,7 +22,9 @@ no row; other columns are ignored.
 
 from __future__ import annotations
 
-import base64
+import json
+import os
+import re
 import uuid
 from collections.abc import Iterator
 from hashlib import sha256
@@ -36,8 +39,15 @@ from posmetrics.llm.common import table, text_pieces, tuned, vocabulary_path, wr
 A_FILE = "byte_bpe_50k.json"
 B_FILE = "piece_bpe_32k.model"
 SPACE = "▁"  # how B writes a space
-BUNDLE = 2_000_000  # bytes of text that are aligned together
+BUNDLE = 1_000_000  # bytes of text that are aligned together
+KNOWN = 300_000  # stretches that a task remembers, which only saves time
+SHORT = 64  # signs of a stretch worth remembering
 WORK = 1 << 16  # token ends of one piece
+# cuts before a space or line break that follows no white space; the first finds the same
+# stretches where a text has no other white space
+_STRETCH = re.compile(r"[ \n]*[^ \n]+|[ \n]+")
+_CUT = re.compile(r"(?<=[^\s\x85\ufeff])(?=[ \n])")
+_OTHER_SPACE = re.compile(r"[^\S \n]|[\x85\ufeff]")
 _tokenizers: dict[tuple[str, str], Tokenizers] = {}
 
 
@@ -68,6 +78,9 @@ class Tokenizers:
             self.a_bytes[i] = bytes(sign[c] for c in entry) if known else entry.encode()
         self.b = sentencepiece.SentencePieceProcessor(model_file=b_path)
         self.b_bytes = [self._piece(i) for i in range(self.b.get_piece_size())]
+        self.cuts = self._may_cut(a_path)
+        self.known: dict[str, tuple[bytes, bytes]] = {}
+        self.odd: set[str] = set()  # stretches that either side spells differently
         self.a_size = np.array([len(x) for x in self.a_bytes], "i8")
         self.b_size = np.array([len(x) for x in self.b_bytes], "i8")
         # how ids are written: inside a list or at its end, A before B
@@ -80,27 +93,73 @@ class Tokenizers:
         piece = self.b.id_to_piece(i)
         return bytes([int(piece[3:-1], 16)]) if self.b.is_byte(i) else piece.replace(SPACE, " ").encode()
 
-    def encode(self, texts: list[str]) -> list[tuple[list[int], list[int]]]:
-        """Ids of A and B of each text; none where either does not spell the text."""
-        a = [e.ids for e in self.a.encode_batch([f" {t}" for t in texts], add_special_tokens=False)]
-        b = self.b.encode(texts, num_threads=1)
+    def _may_cut(self, a_path: str) -> bool:
+        """Whether no token spans the start of a space or line break after other signs: A
+        splits its texts there by its own pattern before it merges, and no piece of B holds
+        a line break, or a space but at its start."""
+        with open(a_path, encoding="utf-8") as file:
+            split = json.load(file).get("pre_tokenizer") or {}
+        pieces = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
+        inner = any("\n" in p or SPACE in p.lstrip(SPACE) for p in pieces)
+        return split.get("type") == "ByteLevel" and split.get("use_regex", True) and not inner
+
+    def _learn(self, stretches: list[str]) -> dict[str, tuple[bytes, bytes]]:
+        """Ids of A and B of stretches, as little-endian 32-bit integers."""
+        a = [e.ids for e in self.a.encode_batch_fast(stretches, add_special_tokens=False)]
+        # B puts a space before what it is given: a stretch's own, or one to be left out
+        b = self.b.encode([s[1:] if s[0] == " " else s for s in stretches], num_threads=1)
+        out = {}
+        for s, x, y in zip(stretches, a, b):
+            if s == " ":  # nothing is left of it, and B puts no space before nothing
+                y = [self.b.piece_to_id(SPACE)]
+            elif s[0] != " ":
+                y = y[1:]
+            out[s] = (np.array(x, "<i4").tobytes(), np.array(y, "<i4").tobytes())
+            whole = s.encode()
+            if not (self._spelled(self.a_bytes, x) == whole == self._spelled(self.b_bytes, y)):
+                self.odd.add(s)
+        return out
+
+    @staticmethod
+    def _spelled(entries: list[bytes], ids: list[int]) -> bytes:
+        return b"".join(map(entries.__getitem__, ids))
+
+    def _stretches(self, text: str) -> list[str]:
+        whole = f" {text}"
+        if not self.cuts:
+            return [whole]
+        return _CUT.split(whole) if _OTHER_SPACE.search(text) else _STRETCH.findall(whole)
+
+    def encode(self, texts: list[str]) -> list[tuple[bytes, bytes]]:
+        """Ids of A and B of each text, as little-endian 32-bit integers; none where either
+        does not spell the text."""
+        cut = [self._stretches(t) if t else [] for t in texts]
+        needed = set().union(*cut)
+        new = needed.difference(self.known)
+        if len(self.known) + len(new) > KNOWN:
+            self.known, self.odd = {}, set()
+            new = needed
+        self.known.update(self._learn(list(new)))
         out = []
-        for text, x, y in zip(texts, a, b):
-            whole = f" {text}".encode()
-            same = (
-                text
-                and b"".join(map(self.a_bytes.__getitem__, x)) == whole
-                and b"".join(map(self.b_bytes.__getitem__, y)) == whole
-            )
-            out.append((x, y) if same else ([], []))
+        for text, own in zip(texts, cut):
+            parts = list(map(self.known.__getitem__, own))
+            x, y = b"".join([p[0] for p in parts]), b"".join([p[1] for p in parts])
+            if self.odd and not self.odd.isdisjoint(own):
+                whole = f" {text}".encode()
+                ids = [np.frombuffer(z, "<i4").tolist() for z in (x, y)]
+                if not (self._spelled(self.a_bytes, ids[0]) == whole == self._spelled(self.b_bytes, ids[1])):
+                    x = y = b""
+            out.append((x, y))
+        for s in new:  # long ones seldom come again
+            if len(s) > SHORT:
+                del self.known[s]
+                self.odd.discard(s)
         return out
 
 
 def tokenizers_of(a_path: str, b_path: str) -> Tokenizers:
     key = (a_path, b_path)
     if key not in _tokenizers:
-        import os
-
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # one core for a task
         _tokenizers[key] = Tokenizers(*key)
     return _tokenizers[key]
@@ -188,10 +247,10 @@ def bundled(docs: DataFrame, a_path: str, b_path: str, size: int = BUNDLE) -> Da
 
 def _bundle(own: Tokenizers, doc_ids: pa.Array, texts: list[str]) -> pa.RecordBatch:
     pairs = own.encode(texts)
-    n_a = np.array([len(x) for x, _ in pairs], "i8")
-    n_b = np.array([len(y) for _, y in pairs], "i8")
-    a = np.fromiter((i for x, _ in pairs for i in x), "i8", n_a.sum())
-    b = np.fromiter((i for _, y in pairs for i in y), "i8", n_b.sum())
+    n_a = np.array([len(x) for x, _ in pairs], "i8") // 4
+    n_b = np.array([len(y) for _, y in pairs], "i8") // 4
+    a = np.frombuffer(b"".join([x for x, _ in pairs]), "<i4").astype("i8")
+    b = np.frombuffer(b"".join([y for _, y in pairs]), "<i4").astype("i8")
     del pairs
     at_a, at_b = common_ends(np.cumsum(own.a_size[a]), np.cumsum(own.b_size[b]))
     order = spelled(own, a, b, at_a, at_b)

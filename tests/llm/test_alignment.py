@@ -13,7 +13,7 @@ from posmetrics.llm import alignment
 from posmetrics.llm.common import vocabulary_path
 
 random.seed(5)
-SIGNS = "ab e\n\té1<>th日in .,!'s　\x1cD"
+SIGNS = "ab \r\x85\xa0 e\n\té1<>th日in .,!'s　\x1cD"
 TEXTS = [
     None,
     "",
@@ -26,7 +26,7 @@ TEXTS = [
     "x" * 3000,
     "the quick brown fox " * 400,
     "é ﬁ Å",
-] + ["".join(random.choice(SIGNS) for _ in range(150)) for _ in range(60)]
+] + ["".join(random.choice(SIGNS) for _ in range(150)) for _ in range(600)]
 PATHS = [vocabulary_path(alignment.A_FILE), vocabulary_path(alignment.B_FILE)]
 
 
