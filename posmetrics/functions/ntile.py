@@ -11,7 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from posmetrics.session import shared_root
+from posmetrics.session import scratch_dir, shared_root
+from posmetrics.sources.files import Files
 
 _LOCAL_BITS = 33  # monotonically_increasing_id: partition number above, row below
 
@@ -38,7 +39,9 @@ def with_ntiles(
     ).checkpoint()
 
     keys = ["ranking", "absent", "value", "id"]
-    placed = (
+    # range bounds are sampled: both lookups below must see the same layout
+    scratch = scratch_dir(df.sparkSession, "ranks")
+    (
         base.select(
             F.col(id_column).cast("string").alias("id"),
             F.posexplode(F.array(*(F.col(f"_rank_{n}") for n in names))).alias("ranking", "value"),
@@ -52,9 +55,9 @@ def with_ntiles(
         .repartitionByRange(*keys)
         .sortWithinPartitions(*keys)
         .withColumn("place", F.monotonically_increasing_id())
-        # range bounds are sampled: both lookups below must see the same layout
-        .checkpoint()
+        .write.parquet(scratch)
     )
+    placed = df.sparkSession.read.parquet(scratch)
     # one row per shuffle partition
     sizes = (
         placed.groupBy(F.shiftright("place", _LOCAL_BITS).alias("part"))
@@ -64,6 +67,7 @@ def with_ntiles(
     )
     n = sum(r["count"] for r in sizes) // len(names)
     if n == 0:
+        Files(df.sparkSession, scratch).delete(scratch)
         return base.select(*df.columns, *(F.lit(1).cast("bigint").alias(x) for x in names))
 
     places = {
@@ -75,6 +79,7 @@ def with_ntiles(
         r["place"]: r
         for r in placed.filter(F.col("place").isin(*set(places.values()))).collect()
     }
+    Files(df.sparkSession, scratch).delete(scratch)
 
     scores = []
     for i, name in enumerate(names):

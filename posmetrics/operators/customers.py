@@ -47,12 +47,14 @@ class Customers(MetricGroup):
             .orderBy(F.desc("date"))
         )
 
-    def rfm_analysis(self, as_of_date: date | None = None) -> DataFrame:
+    def rfm_analysis(self, as_of_date: date | None = None, inactive: str = "highest") -> DataFrame:
         """Recency, frequency and monetary quintiles and a segment per customer.
 
         Customers without a sale have no recency and rank last on it, which is the
-        highest recency score.
+        highest recency score; with ``inactive="lowest"`` they rank first.
         """
+        if inactive not in ("highest", "lowest"):
+            raise ValueError("inactive is 'highest' or 'lowest'")
         as_of = as_of_date or self.as_of
         today = F.lit(as_of) if as_of else F.current_date()
         per_customer = (
@@ -75,11 +77,14 @@ class Customers(MetricGroup):
                 F.coalesce(amount("_spent"), F.lit(0.0)).alias("monetary"),
             )
         )
+        recent = -F.col("recency_days")
+        if inactive == "lowest":
+            recent = F.coalesce(recent.cast("double"), F.lit(float("-inf")))
         scored = with_ntiles(
             rfm,
             "customer_id",
             {
-                "r_score": -F.col("recency_days"),
+                "r_score": recent,
                 "f_score": F.col("frequency"),
                 "m_score": F.col("monetary"),
             },

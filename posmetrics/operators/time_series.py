@@ -28,24 +28,46 @@ class TimeSeries(MetricGroup):
             .agg(total("total_money").alias("revenue"), tx_count())
         )
 
+    def _by_day(self, daily: DataFrame, calendar: bool) -> DataFrame:
+        """``daily``, with ``calendar`` every day from its first to its last, those without
+        sales with a revenue of 0."""
+        if not calendar:
+            return daily
+        ends = daily.agg(F.min("date").alias("first"), F.max("date").alias("last"))
+        days = ends.select(F.explode(F.sequence("first", "last")).alias("date"))
+        return days.join(daily, "date", "left").fillna(0, [c for c in daily.columns if c != "date"])
+
     def moving_average_revenue(
-        self, window=7, days=90, date_start=None, date_end=None, store_id=None
+        self, window=7, days=90, date_start=None, date_end=None, store_id=None, calendar=False
     ) -> DataFrame:
-        """date, revenue, tx_count, ma_{window}d over the last ``window`` days with sales."""
-        frame = by_date().rowsBetween(1 - window, 0)
+        """date, revenue, tx_count, ma_{window}d over the last ``window`` days with sales.
+
+        ``calendar``: over the last ``window`` days, and a row for days without sales too.
+        """
+        if calendar:  # days as numbers, so that the frame is one of days, not of rows
+            frame = Window.orderBy(F.unix_date("date")).rangeBetween(1 - window, 0)
+        else:
+            frame = by_date().rowsBetween(1 - window, 0)
         # averaged as an exact decimal sum, like every other mean
         average = F.sum(F.col("revenue").cast("decimal(28,4)")).over(frame).cast(
             "double"
         ) / F.count("revenue").over(frame)
+        daily = self._daily(self._window(days, date_start, date_end), store_id)
         return (
-            self._daily(self._window(days, date_start, date_end), store_id)
+            self._by_day(daily, calendar)
             .withColumn(f"ma_{window}d", rnd(average, 2))
             .orderBy(F.desc("date"))
         )
 
-    def week_over_week_growth(self, days=90, date_start=None, date_end=None) -> DataFrame:
-        """date, revenue, prev_week_revenue (seven rows back), wow_change_pct."""
+    def week_over_week_growth(
+        self, days=90, date_start=None, date_end=None, calendar=False
+    ) -> DataFrame:
+        """date, revenue, prev_week_revenue (seven rows back), wow_change_pct.
+
+        ``calendar``: seven days back, and a row for days without sales too.
+        """
         daily = self._daily(self._window(days, date_start, date_end)).select("date", "revenue")
+        daily = self._by_day(daily, calendar)
         return (
             daily.withColumn("prev_week_revenue", F.lag("revenue", 7).over(by_date()))
             .withColumn("wow_change_pct", change_pct(F.col("revenue"), F.col("prev_week_revenue")))

@@ -44,12 +44,15 @@ class Loader:
         zone: str = intake.DEFAULT_ZONE,
         now: datetime | None = None,
         on_progress: Callable[[str, int], None] | None = None,
+        partial: bool = False,
     ):
+        """``partial``: records set only the fields they have, see ``Warehouse.upsert``."""
         self.warehouse = warehouse
         self.landing = landing
         self.zone = zone
         self.now = now
         self.on_progress = on_progress
+        self.partial = partial
 
     def prepared(self, resource: str) -> DataFrame:
         return intake.prepared(self.landing.pages(resource), resource, self.now, self.zone)
@@ -96,7 +99,9 @@ class Loader:
             done = Merged()
             try:
                 follow(
-                    self.warehouse, self.landing, resource, zone=self.zone, now=self.now, on_batch=done.add
+                    self.warehouse, self.landing, resource,
+                    zone=self.zone, now=self.now, on_batch=done.add,
+                    partial=self.partial,
                 ).awaitTermination()
             except Exception as error:
                 report.errors[resource] = str(error)
@@ -131,6 +136,7 @@ class Loader:
             self.now,
             self.zone,
             lambda good: restrict(good, resource, **bounds),
+            self.partial,
         )
         if self.on_progress:
             self.on_progress(resource, done.records)

@@ -109,6 +109,137 @@ def upserted(table, columns, late=False):
     return run
 
 
+def _changed_warehouse(spark, sf_dir, label):
+    """All receipts, then their changes as deltas on top; also the reader in between."""
+    warehouse, _ = _fresh(spark, label)
+    warehouse.upsert("receipts", intake.valid(_prepared(spark, sf_dir, "receipts")))
+    reader = warehouse.pinned()
+    changed = intake.prepared(_changed_orders(spark, sf_dir), "receipts", NOW)
+    warehouse.upsert("receipts", intake.valid(changed))
+    return warehouse, reader
+
+
+def reader_during_load(spark, sf_dir):
+    """A reader that began before a load goes on seeing what was there."""
+    warehouse, reader = _changed_warehouse(spark, sf_dir, "reader")
+    seen = [(w.table("receipts").select(*RECEIPT), name) for w, name in ((reader, "before"), (warehouse, "after"))]
+    before, after = (df.withColumn("reader", F.lit(name)) for df, name in seen)
+    return before.unionByName(after)
+
+
+def delta_read(spark, sf_dir):
+    warehouse, _ = _changed_warehouse(spark, sf_dir, "delta")
+    assert len({p.load for p in warehouse.now().of("receipt_line_items")}) == 2
+    return warehouse.table("receipt_line_items").select(*LINE)
+
+
+def compacted(spark, sf_dir):
+    warehouse, _ = _changed_warehouse(spark, sf_dir, "compact")
+    assert warehouse.compact("receipts")
+    assert len({p.load for p in warehouse.now().of("receipt_line_items")}) == 1
+    return warehouse.table("receipt_line_items").select(*LINE)
+
+
+def looked_up(spark, sf_dir):
+    """By number, through the index of receipts, some of which have changed."""
+    warehouse, _ = _changed_warehouse(spark, sf_dir, "lookup")
+    numbers = [(f"R-{i}",) for i in range(1, 40)]
+    return warehouse.lookup("receipts", numbers).select(*RECEIPT)
+
+
+def two_writers(spark, sf_dir):
+    """Both halves of the changes are loaded at once."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    warehouse, _ = _fresh(spark, "writers")
+    warehouse.upsert("receipts", intake.valid(_prepared(spark, sf_dir, "receipts")))
+    changes = _changed_orders(spark, sf_dir)
+    odd = F.get_json_object("value", "$.receipts[0].receipt_number").endswith("1")
+
+    def load(pages):
+        Warehouse(spark, warehouse.root).upsert("receipts", intake.valid(intake.prepared(pages, "receipts", NOW)))
+
+    with ThreadPoolExecutor(2) as pool:
+        list(pool.map(load, [changes.filter(odd), changes.filter(~odd)]))
+    return warehouse.table("receipts").select(*RECEIPT)
+
+
+def _partly_changed(spark, sf_dir, resource, record, where):
+    warehouse, _ = _fresh(spark, "partial")
+    warehouse.upsert(resource, intake.valid(_prepared(spark, sf_dir, resource)))
+    rows = feed.source(spark, sf_dir, resource).filter(where)
+    pages = rows.selectExpr(f"to_json(named_struct('{resource}', array(named_struct({record})))) AS value")
+    warehouse.merge(resource, pages, "partial", NOW, partial=True)
+    return warehouse
+
+
+def partial_records(spark, sf_dir):
+    """Some customers come back with a name and a note only."""
+    record = """'id', k, 'name', concat('new name ', k), 'created_at', at, 'note', 'seen',
+                'updated_at', '2001-09-10T00:00:00Z'"""
+    warehouse = _partly_changed(spark, sf_dir, "customers", record, "k % 3 = 1")
+    return warehouse.table("customers").select(
+        "id", "name", "email", "phone_number", "first_visit", "last_visit", "total_visits", "total_spent", "note",
+        "created_at", "updated_at",
+    )
+
+
+def partial_receipts(spark, sf_dir):
+    """Some receipts come back without lines and two months later; their lines move along."""
+    record = """'receipt_number', concat('R-', k), 'receipt_type', 'SALE', 'created_at', at, 'total_money', 1.0,
+                'updated_at', '2001-09-10T00:00:00Z',
+                'receipt_date', date_format(t0 + make_dt_interval(61), "yyyy-MM-dd'T'HH:mm:ss'Z'")"""
+    warehouse = _partly_changed(spark, sf_dir, "receipts", record, "k % 3 = 1 AND k % 41 <> 0 AND k % 301 <> 1")
+    return warehouse.stored("receipt_line_items").select(*LINE, "receipt_month")
+
+
+def wrong_nested_types(spark, sf_dir):
+    pages = feed.source(configure(spark), sf_dir, "receipts").selectExpr(
+        """concat('{"receipts":[{"receipt_number":"R-', k, '","receipt_type":"SALE","receipt_date":"', at,
+             '","created_at":"', at, '","updated_at":"', at, '","total_money":1,"line_items":',
+             CASE WHEN k % 13 = 0 THEN '[5]' WHEN k % 13 = 1 THEN '"none"' ELSE concat(
+               '[{"id":"a","item_id":"i","item_name":"n","price":1,"total_money":', if(k % 5 = 0, '"much"', '1'),
+               ',"quantity":', elt(1 + k % 4, '1', '"2"', '"two"', '{}'), '}]') END,
+             ',"payments":[{"payment_type_id":"p","money_amount":1,"paid_at":"', if(k % 7 = 0, 'soon', at),
+             '"}]}]}') AS value"""
+    )
+    bad = intake.prepared(pages, "receipts", NOW).filter(F.size(intake.ERRORS) > 0)
+    return bad.select("receipt_number", F.array_join(intake.ERRORS, "; ").alias("reasons"))
+
+
+def created_tables(spark, sf_dir):
+    """Columns of each kind, and rows, of all tables of a new warehouse."""
+    warehouse, _ = _fresh(spark, "create")
+    kinds = ("string", "double", "int", "bigint", "boolean", "timestamp_ntz")
+    counted = [F.count_if(F.col("data_type") == k).alias(f"n_{k}") for k in kinds]
+    tables = warehouse.schemas().groupBy("table_name").agg(F.count("*").alias("columns"), *counted)
+    return tables.join(warehouse.counts(), "table_name")
+
+
+def repeated_page(spark, sf_dir):
+    """All pages land again, and some of them with other contents; records lack the time
+    of their change, so that a repeated page would look like a newer version."""
+    warehouse, landing = _fresh(spark, "repeat")
+    rows = feed.source(spark, sf_dir, "suppliers")
+
+    def pages(name, where):
+        return rows.filter(where).selectExpr(
+            f"""to_json(named_struct('suppliers', array(named_struct(
+                  'id', concat('s-', k), 'name', '{name}', 'created_at', at)))) AS value"""
+        )
+
+    def load(df, day):
+        df.coalesce(1).write.mode("append").text(landing.path("suppliers"))
+        follow(
+            warehouse, landing, "suppliers", now=datetime(2024, 6, day), replays_within="7 days"
+        ).awaitTermination()
+
+    load(pages("first", "true"), 1)
+    load(pages("second", "k % 2 = 0"), 2)
+    load(pages("first", "true"), 3)
+    return warehouse.table("suppliers").select("id", "name", "updated_at")
+
+
 def full_load(spark, sf_dir):
     warehouse, landing = _fresh(spark, "load")
     resources = list(feed.RECORDS)
@@ -473,6 +604,16 @@ QUERIES = {
     "i19_pass_merchant": split("merchant", "merchant", "id", "business_name", "country", "currency"),
     "w02_upsert_receipts": upserted("receipts", RECEIPT, late=True),
     "w02_upsert_receipt_lines": upserted("receipt_line_items", LINE),
+    "w01_create": created_tables,
+    "w02_reader_during_load": reader_during_load,
+    "w02_delta_read": delta_read,
+    "w02_compacted": compacted,
+    "w02_two_writers": two_writers,
+    "w02_partial_record": partial_records,
+    "w02_partial_record_lines": partial_receipts,
+    "r02_warehouse_lookup": looked_up,
+    "i07_wrong_types_nested": wrong_nested_types,
+    "w05_repeated_page": repeated_page,
     "w03_full_load_counts": full_load,
     "w03_windowed_load": windowed_load,
     "w04_incremental_sync": incremental_sync,

@@ -36,6 +36,7 @@ METRICS = {
     "a11_new_vs_returning": lambda e: e.customers.new_vs_returning(),
     "a11_new_vs_returning_all_time": lambda e: e.customers.new_vs_returning(**ALL),
     "a12_rfm_analysis": lambda e: e.customers.rfm_analysis(),
+    "a12_inactive_lowest": lambda e: e.customers.rfm_analysis(inactive="lowest"),
     "a13_top_customers": lambda e: e.customers.top_customers(days=365),
     "a14_unique_customers": lambda e: e.customers.unique_customers(),
     "a15_retention_rate": lambda e: e.customers.retention_rate(days=365),
@@ -55,6 +56,10 @@ METRICS = {
         window=28, days=365, store_id="1"
     ),
     "a27_week_over_week_growth": lambda e: e.time_series.week_over_week_growth(),
+    "a26_calendar": lambda e: e.time_series.moving_average_revenue(
+        store_id="1", date_start="1998-01-01", date_end="1999-12-31", calendar=True
+    ),
+    "a27_calendar": lambda e: e.time_series.week_over_week_growth(days=365, calendar=True),
     "a28_monthly_summary": lambda e: e.time_series.monthly_summary(),
     "a29_day_over_day": lambda e: e.time_series.day_over_day(),
     "a30_gross_profit": lambda e: e.profitability.gross_profit(),

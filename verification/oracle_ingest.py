@@ -428,5 +428,67 @@ RAW = {
         WHERE {LIVE} AND ends_with(email, '@example.org') AND total_spent > 5000""",
 }
 
+# fixed values: the columns of each table, then those that are text, floating, whole, long
+# whole, boolean, and times
+RAW |= {
+    "w01_create": """
+        SELECT t.*, CAST(0 AS BIGINT) AS row_count FROM (VALUES
+            ('categories', 6, 3, 0, 0, 0, 0, 3), ('stores', 12, 9, 0, 0, 0, 0, 3),
+            ('suppliers', 16, 13, 0, 0, 0, 0, 3), ('taxes', 7, 3, 1, 0, 0, 0, 3),
+            ('modifiers', 6, 2, 0, 1, 0, 0, 3), ('discounts', 9, 3, 2, 0, 0, 1, 3),
+            ('employees', 8, 4, 0, 0, 0, 1, 3), ('customers', 20, 11, 2, 1, 0, 0, 6),
+            ('pos_devices', 5, 3, 0, 0, 0, 1, 1), ('payment_types', 6, 3, 0, 0, 0, 0, 3),
+            ('items', 20, 13, 0, 0, 0, 4, 3), ('variants', 15, 9, 3, 0, 0, 0, 3),
+            ('receipts', 25, 12, 8, 0, 0, 0, 5), ('merchant', 6, 5, 0, 0, 0, 0, 1),
+            ('inventory', 4, 2, 0, 1, 0, 0, 1), ('webhooks', 7, 5, 0, 0, 0, 0, 2),
+            ('shifts', 23, 5, 13, 0, 0, 0, 5), ('employee_store', 2, 2, 0, 0, 0, 0, 0),
+            ('item_tax', 2, 2, 0, 0, 0, 0, 0), ('item_modifier', 2, 2, 0, 0, 0, 0, 0),
+            ('modifier_store', 2, 2, 0, 0, 0, 0, 0), ('tax_store', 2, 2, 0, 0, 0, 0, 0),
+            ('discount_store', 2, 2, 0, 0, 0, 0, 0), ('payment_type_store', 2, 2, 0, 0, 0, 0, 0),
+            ('variant_store', 5, 2, 2, 0, 0, 1, 0), ('receipt_line_items', 15, 8, 7, 0, 0, 0, 0),
+            ('receipt_payments', 7, 4, 1, 1, 0, 0, 1), ('modifier_options', 8, 3, 1, 1, 0, 0, 3),
+            ('shift_taxes', 5, 3, 2, 0, 0, 0, 0), ('shift_payments', 4, 3, 1, 0, 0, 0, 0),
+            ('shift_cash_movements', 5, 3, 1, 0, 0, 0, 1), ('sync_metadata', 4, 2, 0, 0, 1, 0, 1)
+        ) AS t(table_name, columns, n_string, n_double, n_int, n_bigint, n_boolean, n_timestamp_ntz)""".replace(
+        "SELECT t.*", "SELECT table_name, " + ", ".join(
+            f"CAST({c} AS BIGINT) AS {c}"
+            for c in ("columns", "n_string", "n_double", "n_int", "n_bigint", "n_boolean", "n_timestamp_ntz")
+        )
+    ),
+    "w02_reader_during_load": f"""
+        SELECT *, 'before' AS reader FROM ({HEADERS}) UNION ALL SELECT *, 'after' FROM ({AFTER_CHANGE})""",
+    "w02_delta_read": LINES_AFTER_CHANGE,
+    "w02_compacted": LINES_AFTER_CHANGE,
+    "w02_two_writers": AFTER_CHANGE,
+    "r02_warehouse_lookup": f"""
+        SELECT * FROM ({AFTER_CHANGE}) WHERE CAST(receipt_number[3:] AS BIGINT) BETWEEN 1 AND 39""",
+    "w02_partial_record": f"""
+        SELECT id, CASE WHEN p THEN 'New Name ' || id ELSE name END AS name, email, phone_number, first_visit,
+               last_visit, total_visits, total_spent, CASE WHEN p THEN 'seen' END AS note,
+               CASE WHEN p THEN given ELSE created_at END AS created_at,
+               CASE WHEN p THEN TIMESTAMP '2001-09-10 08:00:00' ELSE updated_at END AS updated_at
+        FROM (SELECT c.*, CAST(id AS BIGINT) % 3 = 1 AS p, s.a AS given
+              FROM ({CUSTOMERS_CLEAN}) c JOIN {CUSTOMER} s ON c.id = CAST(s.k AS VARCHAR))""",
+    "w02_partial_record_lines": f"""
+        SELECT l.id, l.receipt_id, l.item_name, l.quantity, l.total_money,
+               CAST(date_trunc('month', o.a + to_days(CASE WHEN o.k % 3 = 1 THEN 61 ELSE 0 END)) AS DATE) AS receipt_month
+        FROM ({LINES}) l JOIN {ORDERS} o ON l.receipt_id = 'R-' || o.k""",
+    "i07_wrong_types_nested": reasons(
+        f"(SELECT *, 'R-' || k AS receipt_number FROM {ORDERS})",
+        "receipt_number",
+        {
+            "line_items is no list": "k % 13 = 1",
+            "line_items holds what is no object": "k % 13 = 0",
+            "line_items quantity is no number": "k % 13 > 1 AND k % 4 IN (2, 3)",
+            "line_items total_money is no number": "k % 13 > 1 AND k % 5 = 0",
+            "payments paid_at is no time": "k % 7 = 0",
+        },
+    ),
+    "w05_repeated_page": f"""
+        SELECT 's-' || k AS id, CASE WHEN k % 2 = 0 THEN 'second' ELSE 'first' END AS name,
+               CASE WHEN k % 2 = 0 THEN TIMESTAMP '2024-06-02' ELSE TIMESTAMP '2024-06-01' END AS updated_at
+        FROM {SUPPLIER}""",
+}
+
 RAW["w05_stream_rejects"] = f"""
     SELECT 'page' AS kind, reason AS reasons, COUNT(*) AS n FROM ({RAW["i01_unreadable_pages"]}) GROUP BY 2"""

@@ -226,6 +226,28 @@ def visits(days: int | None) -> str:
     )
 
 
+# every day between the first and the last, those without sales at 0
+ON_DAYS = """
+    WITH d AS (SELECT {day} AS date, {money} AS revenue, {count} FROM sales WHERE {where} GROUP BY 1),
+    a AS (SELECT unnest(range(MIN(date), MAX(date) + INTERVAL 1 DAY, INTERVAL 1 DAY))::DATE AS date FROM d),
+    e AS (SELECT a.date, COALESCE(d.revenue, 0e0) AS revenue, COALESCE(d.tx_count, 0) AS tx_count
+          FROM a LEFT JOIN d ON a.date = d.date)"""
+
+
+def moving_average_of_days(window: int, where: str) -> str:
+    average = "(CAST(SUM(CAST(x.revenue AS DECIMAL(28,4))) AS DOUBLE) / COUNT(*))"
+    return ON_DAYS.format(day=DAY, money=MONEY, count=COUNT, where=where) + f"""
+        SELECT e.date, e.revenue, e.tx_count, {rnd(average, 2)} AS ma_{window}d
+        FROM e JOIN e x ON x.date BETWEEN e.date - {window - 1} AND e.date GROUP BY ALL"""
+
+
+def week_before(where: str) -> str:
+    return ON_DAYS.format(day=DAY, money=MONEY, count=COUNT, where=where) + f"""
+        SELECT e.date, e.revenue, x.revenue AS prev_week_revenue,
+               {pct('(e.revenue - x.revenue)', 'x.revenue', 1)} AS wow_change_pct
+        FROM e LEFT JOIN e x ON x.date = e.date - 7"""
+
+
 RFM = f"""
     WITH g AS (
       SELECT c.id AS customer_id, c.name,
@@ -388,6 +410,7 @@ METRICS = {
     "a11_new_vs_returning": new_vs_returning(since(30, "r.receipt_date")),
     "a11_new_vs_returning_all_time": new_vs_returning("TRUE"),
     "a12_rfm_analysis": RFM,
+    "a12_inactive_lowest": RFM.replace("DESC NULLS LAST", "DESC NULLS FIRST"),
     "a13_top_customers": f"""
         SELECT c.id AS customer_id, c.name, COUNT(DISTINCT r.receipt_number) AS visits,
                {rnd(MONEY, 2)} AS total_spent, {AVG_TICKET}
@@ -437,6 +460,10 @@ METRICS = {
     "a26_moving_average_revenue": moving_average(7, since(90)),
     "a26_moving_average_28_days": moving_average(28, f"{since(365)} AND store_id = '1'"),
     "a27_week_over_week_growth": lagged(90, 7, "prev_week_revenue", "wow_change_pct", False),
+    "a26_calendar": moving_average_of_days(
+        7, "receipt_date >= DATE '1998-01-01' AND receipt_date < DATE '2000-01-01' AND store_id = '1'"
+    ),
+    "a27_calendar": week_before(since(365)),
     "a28_monthly_summary": MONTHLY % ("TRUE", 12),
     "a29_day_over_day": lagged(30, 1, None, "dod_change_pct", True),
     "a30_gross_profit": daily_margin(since(30)),
