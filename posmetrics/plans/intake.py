@@ -191,7 +191,7 @@ def _typed_elements(x: Nested, zone: str) -> tuple[Column, list[Column]]:
             if not isinstance(kinds[f.name], (T.TimestampNTZType, T.StringType)):
                 c = _typed(c, f.dataType, zone)[0]
             values.append(c.alias(f.name))
-        return F.struct(*values)
+        return F.when(e.isNotNull(), F.struct(*values))
 
     def odd(name: str) -> tuple[Column, str | None]:
         what = _typed(F.lit(None).cast("string"), kinds[name], zone)[1]

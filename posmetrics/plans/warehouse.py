@@ -15,6 +15,7 @@ from __future__ import annotations
 import json
 import uuid
 from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import date, datetime
 
@@ -31,7 +32,9 @@ from posmetrics.sources.schemas import BUCKET, MONTH, TABLES, TableSpec
 from posmetrics.sources.tables import Tables
 
 LOAD = "load"  # folder column: the load that wrote a row
-INDEX_BUCKETS = 256
+INDEX_BUCKETS = 16  # to begin with
+BUCKET_BYTES = 128 << 20  # of an index, beyond which compaction makes more buckets
+AT_ONCE = 4  # tables of a load that are written at the same time
 DELTAS = 8  # loads a partition may hold before it is compacted
 TRIES = 20  # of a load whose resource others keep changing
 _STORED_IN = "_stored_in"
@@ -328,27 +331,34 @@ class Warehouse(Tables):
             parts = intake.split(staged, resource, zone)
         if known is not None and intake.GIVEN in staged.columns:
             parts = self._with_kept(base, resource, parts, staged)
+        writes = []
         for table, rows in parts.items():
             own = TABLES[table]
             if not own.by_month:
                 rows = rows.withColumn(BUCKET, self._bucket(base, resource, own.bucket_key))
             rows = _first_of_each(own, rows) if own.may_repeat else rows
             change.schemas[table] = own.schema.json()
-            fresh = not base.of(table)
-            self._write(change, table, rows.select(*own.columns, own.partition), load, own.partition, own.key, fresh)
+            rows = rows.select(*own.columns, own.partition)
+            writes.append((table, rows, load, own.partition, own.key, not base.of(table)))
         if known is not None:
             keys = known.select(*spec.key, spec.partition)
-            self._write(change, replaced(resource), keys, load, spec.partition, spec.key, False)
+            writes.append((replaced(resource), keys, load, spec.partition, spec.key, False))
         if spec.by_month:
-            entry = staged.select(
-                *spec.key, F.col("updated_at"), MONTH, self._index_bucket(base, resource).alias(BUCKET)
-            )
-            self._write(change, index(resource), entry, load, BUCKET, spec.key, False)
+            bucket = self._index_bucket(base, resource).alias(BUCKET)
+            entry = staged.select(*spec.key, "updated_at", MONTH, bucket)
+            writes.append((index(resource), entry, load, BUCKET, spec.key, False))
+        self._write_all(change, writes)
         return told["count"], told.get("newest"), change
 
+    def _write_all(self, change: Change, writes: list[tuple]) -> None:
+        """Write the folders of a load, which do not depend on each other, as jobs of one time."""
+        with ThreadPoolExecutor(AT_ONCE) as pool:
+            for (dataset, *_), made in zip(writes, pool.map(lambda w: self._write(*w), writes)):
+                change.added.setdefault(dataset, []).extend(made)
+
     def _write(
-        self, change: Change, dataset: str, rows: DataFrame, load: str, partition: str, key: tuple, fresh: bool
-    ) -> None:
+        self, dataset: str, rows: DataFrame, load: str, partition: str, key: tuple, fresh: bool
+    ) -> list[Piece]:
         """Write a folder of a load and list what it came to. Rows lie in the order of their
         keys within files; where much is written at once, also from file to file."""
         if fresh:
@@ -358,8 +368,7 @@ class Warehouse(Tables):
         path = f"{self.path(dataset)}/{LOAD}={load}"
         rows.sortWithinPartitions(partition, *key).write.partitionBy(partition).parquet(path)
         made = self.files.folders(path)
-        own = [Piece(load, name.split("=", 1)[1], size) for name, size in made.items() if "=" in name]
-        change.added.setdefault(dataset, []).extend(own)
+        return [Piece(load, name.split("=", 1)[1], size) for name, size in made.items() if "=" in name]
 
     def _bucket_counts(self, version: Version, resource: str) -> dict[str, int]:
         spec = TABLES[resource]
@@ -381,11 +390,7 @@ class Warehouse(Tables):
         wanted = set()
         if version.of(index(resource)):
             wanted = {_folder(b) for b in _values(keys.select(self._index_bucket(version, resource).alias("b")), "b")}
-        schema = (
-            T.StructType([spec.schema[k] for k in spec.key])
-            .add(spec.schema["updated_at"]).add(MONTH, T.DateType()).add(BUCKET, T.IntegerType()).add(LOAD, T.StringType())
-        )
-        entries = self._pieces(index(resource), version.of(index(resource), wanted), schema, BUCKET)
+        entries = self._entries(resource, version.of(index(resource), wanted))
         last = F.max_by(F.struct(MONTH, "updated_at"), LOAD).alias("_last")
         found = entries.join(keys.distinct(), list(spec.key), "left_semi").groupBy(*spec.key).agg(last)
         return found.select(
@@ -492,6 +497,7 @@ class Warehouse(Tables):
         load = load_name(base)
         counts = {**self._bucket_counts(base, resource), **({resource: buckets} if buckets else {})}
         change = Change({resource}, buckets=counts)
+        writes = []
         for table in tables_of(resource):
             spec = TABLES[table]
             old = base.of(table, parts)
@@ -500,26 +506,35 @@ class Warehouse(Tables):
             rows = self._live(base, table, parts).drop(LOAD)
             if buckets and not spec.by_month:
                 rows = rows.withColumn(BUCKET, _bucket_of(spec.bucket_key, buckets))
-            self._write(change, table, rows, load, spec.partition, spec.key, True)
+            writes.append((table, rows, load, spec.partition, spec.key, True))
             change.removed[table] = set(old)
+        self._write_all(change, writes)
         change.removed[replaced(resource)] = set(base.of(replaced(resource), parts))
         return self._try(base, change)
 
     def _compact_index(self, resource: str, buckets: set[str]) -> bool:
+        """The newest entry of each key; into more buckets once these hold too much."""
         base = self.versions.latest()
-        spec = TABLES[resource]
-        schema = (
-            T.StructType([spec.schema[k] for k in spec.key])
-            .add(spec.schema["updated_at"]).add(MONTH, T.DateType()).add(BUCKET, T.IntegerType()).add(LOAD, T.StringType())
-        )
+        spec, counts = TABLES[resource], self._bucket_counts(base, resource)
+        size = sum(p.size for p in base.of(index(resource)))
+        if size > counts[index(resource)] * BUCKET_BYTES:
+            counts[index(resource)] = 2 * -(-size // BUCKET_BYTES)
+            buckets = {p.part for p in base.of(index(resource))}
         old = base.of(index(resource), buckets)
         last = F.max_by(F.struct("updated_at", MONTH), LOAD).alias("_last")
-        rows = self._pieces(index(resource), old, schema, BUCKET).groupBy(BUCKET, *spec.key).agg(last)
-        rows = rows.select(*spec.key, "_last.updated_at", f"_last.{MONTH}", BUCKET)
-        change = Change({resource}, removed={index(resource): set(old)})
-        self._write(change, index(resource), rows, load_name(base), BUCKET, spec.key, True)
+        rows = self._entries(resource, old).groupBy(*spec.key).agg(last)
+        bucket = _bucket_of(spec.key[0], counts[index(resource)]).alias(BUCKET)
+        rows = rows.select(*spec.key, "_last.updated_at", f"_last.{MONTH}", bucket)
+        change = Change({resource}, removed={index(resource): set(old)}, buckets=counts)
+        self._write_all(change, [(index(resource), rows, load_name(base), BUCKET, spec.key, True)])
         return self._try(base, change)
 
+    def _entries(self, resource: str, pieces: Iterable[Piece]) -> DataFrame:
+        spec = TABLES[resource]
+        keys = T.StructType([*(spec.schema[k] for k in spec.key), spec.schema["updated_at"]])
+        schema = keys.add(MONTH, T.DateType()).add(BUCKET, T.IntegerType()).add(LOAD, T.StringType())
+        return self._pieces(index(resource), pieces, schema, BUCKET)
+
     def _try(self, base: Version, change: Change) -> bool:
         try:
             self.versions.commit(base, change)
