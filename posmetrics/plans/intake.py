@@ -5,7 +5,10 @@ pages -> records -> cleaned -> checked (valid / rejected) -> one DataFrame per t
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import datetime
+from functools import partial, reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -54,19 +57,37 @@ def _with_lists(rows: DataFrame, spec: Resource) -> DataFrame:
     """
     nested = {x.array: x for x in spec.nested}
     arrays = [x.array for x in (*spec.links, *spec.nested)]
-    rows = rows.withColumns({f"_list_{a}": F.from_json(a, "ARRAY<STRING>") for a in arrays})
-    given = lambda a: F.col(a).isNotNull() & (F.col(a) != "null")
-    wrong = [F.when(given(a) & F.col(f"_list_{a}").isNull(), F.lit(f"{a} is no list")) for a in arrays]
-    out = {}
+    is_list = {a: F.startswith(a, F.lit("[")) for a in arrays}
+    parsed = {}
     for a in arrays:
-        each = F.col(f"_list_{a}")
-        if a not in nested:
-            out[a] = each
-            continue
-        out[a], odd = _elements(each, nested[a])
-        wrong.append(F.when(odd, F.lit(f"{a} holds what is no object")))
-    rows = rows.withColumns({**out, TYPES: F.array_compact(F.array(*wrong)) if wrong else F.array().cast("array<string>")})
-    return rows.drop(*(f"_list_{a}" for a in arrays))
+        x = nested.get(a)
+        if x is None or x.bare:
+            parsed[f"_list_{a}"] = F.from_json(a, "ARRAY<STRING>")
+        else:  # nothing at all where an element is no object
+            parsed[f"_list_{a}"] = F.when(is_list[a], F.from_json(a, f"ARRAY<STRUCT<{x.text_ddl}>>"))
+    rows = rows.withColumns(parsed)
+    wrong, out = [], {}
+    for a in arrays:
+        each, x = F.col(f"_list_{a}"), nested.get(a)
+        given = F.col(a).isNotNull() & (F.col(a) != "null")
+        wrong.append(F.when(given & ~is_list[a], F.lit(f"{a} is no list")))
+        if x is not None:
+            each = _objects(each, x) if x.bare else each
+            odd = is_list[a] & (each.isNull() | F.exists(each, lambda e: e.isNull()))
+            wrong.append(F.when(odd, F.lit(f"{a} holds what is no object")))
+        out[a] = each
+    named = F.array_compact(F.array(*wrong)) if wrong else F.array().cast("array<string>")
+    return rows.withColumns({**out, TYPES: named}).drop(*parsed)
+
+
+def _objects(texts: Column, x: Nested) -> Column:
+    """Nested rows of JSON texts of which some stand for one field of an object."""
+
+    def row(e: Column) -> Column:
+        bare = F.when(e.isNotNull(), F.to_json(F.struct(e.alias(x.bare))))
+        return F.from_json(F.when(F.startswith(e, F.lit("{")), e).otherwise(bare), x.text_ddl)
+
+    return F.transform(texts, row)
 
 
 def records(pages: DataFrame, resource: str, column: str = "value") -> DataFrame:
@@ -80,19 +101,6 @@ def records(pages: DataFrame, resource: str, column: str = "value") -> DataFrame
     return each.withColumns(out).drop(KIND, BODY, TYPES)
 
 
-def _elements(texts: Column, x: Nested) -> tuple[Column, Column]:
-    """Nested rows of a list of JSON texts, and whether one of these is no object."""
-
-    def text(e: Column) -> Column:
-        whole = F.when(F.startswith(e, F.lit("{")), e)
-        if x.bare:
-            whole = whole.otherwise(F.when(e.isNotNull(), F.to_json(F.struct(e.alias(x.bare)))))
-        return whole
-
-    rows = F.transform(texts, lambda e: F.from_json(text(e), x.text_ddl))
-    return rows, F.exists(texts, lambda e: text(e).isNull())
-
-
 def _why_unreadable(resource: str, page: str) -> Column:
     return F.when(F.get_json_object(page, "$").isNull(), F.lit("not a JSON object")).otherwise(
         F.lit(f"no list '{RESOURCES[resource].items_key}'")
@@ -135,18 +143,27 @@ def clean(
     spec = RESOURCES[resource]
     back = {column: name for name, column in spec.renames.items()}
     loaded = as_ntz(now) if now else F.convert_timezone(None, F.lit(zone), F.localtimestamp())
+    # typed once, in a projection of their own, and used several times
+    typed, given = {}, {}
+    for field in TABLES[resource].schema.fields:
+        c = F.col(back.get(field.name, field.name))
+        if (resource, field.name) == ("merchant", "currency"):
+            c = c["code"]
+        given[field.name] = c
+        value, what = _typed(c, field.dataType, zone)
+        if what:
+            typed[f"_typed_{field.name}"] = value
+    for x in spec.nested:
+        typed[f"_typed_{x.array}"] = _typed_elements(x, zone)
+    raw = raw.withColumns(typed)
     out, wrong = [], []
     for field in TABLES[resource].schema.fields:
         name = field.name
-        c = F.col(back.get(name, name))
-        if (resource, name) == ("merchant", "currency"):
-            c = c["code"]
-        given = c
-        c, what = _typed(given, field.dataType, zone)
-        odd = F.lit(False)
+        c, odd = given[name], F.lit(False)
+        what = _typed(c, field.dataType, zone)[1]
         if what:
-            blank = F.trim(given).isin("", "null") if what == "no time" else F.lit(False)
-            odd = given.isNotNull() & ~blank & c.isNull()
+            c = F.col(f"_typed_{name}")
+            odd = _is_odd(given[name], c, what)
             wrong.append(F.when(odd, F.lit(f"{name} is {what}")))
         if isinstance(field.dataType, T.TimestampNTZType):
             if name in spec.stamped:
@@ -166,47 +183,56 @@ def clean(
         if (resource, name) == ("receipts", "id"):
             c = F.coalesce(c, F.col("receipt_number"))
         out.append(c.alias(name))
-    arrays = [F.col(x.array) for x in spec.links]
+    arrays, nested = [F.col(x.array) for x in spec.links], []
     for x in spec.nested:
-        elements, odd = _typed_elements(x, zone)
-        arrays.append(elements.alias(x.array))
-        wrong += odd
+        pairs = F.col(f"_typed_{x.array}")
+        arrays.append(F.transform(pairs, lambda p: p["typed"]).alias(x.array))
+        nested.append(_odd_elements(x, pairs, zone))
     kept = [x for x in (KIND, BODY) if x in raw.columns]
-    types = F.array_compact(F.array(*wrong))
+    types = F.concat(F.array_compact(F.array(*wrong)), *nested)
     if TYPES in raw.columns:
         types = F.concat(F.col(TYPES), types)
     return raw.select(*out, *arrays, types.alias(TYPES), *kept)
 
 
-def _typed_elements(x: Nested, zone: str) -> tuple[Column, list[Column]]:
-    """Nested rows with typed fields, times still as text, and what to call each field that
-    some element has in a wrong type."""
-    table, fields = TABLES[x.table].schema, x.fields
-    kinds = {f.name: table[f.name].dataType if f.name in table.fieldNames() else f.dataType for f in fields}
+def _is_odd(given: Column, typed: Column, what: str) -> Column:
+    """Whether a text is not of its type; blank times are none."""
+    odd = given.isNotNull() & typed.isNull()
+    return odd & ~F.trim(given).isin("", "null") if what == "no time" else odd
+
+
+def _kinds(x: Nested) -> dict[str, T.DataType]:
+    table = TABLES[x.table].schema
+    return {f.name: table[f.name].dataType if f.name in table.fieldNames() else f.dataType for f in x.fields}
+
+
+def _typed_elements(x: Nested, zone: str) -> Column:
+    """Nested rows as given and typed."""
+    kinds = _kinds(x)
+
+    def pair(e: Column) -> Column:
+        row = F.struct(*(_typed(e[name], kind, zone)[0].alias(name) for name, kind in kinds.items()))
+        return F.struct(e.alias("given"), F.when(e.isNotNull(), row).alias("typed"))
+
+    return F.transform(x.array, pair)
+
 
-    def typed(e: Column) -> Column:
-        values = []
-        for f in fields:
-            c = e[f.name]
-            if not isinstance(kinds[f.name], (T.TimestampNTZType, T.StringType)):
-                c = _typed(c, f.dataType, zone)[0]
-            values.append(c.alias(f.name))
-        return F.when(e.isNotNull(), F.struct(*values))
+def _odd_elements(x: Nested, pairs: Column, zone: str) -> Column:
+    """What to call each field that some element has in a wrong type; a look for any of
+    them spares the others."""
+    called = {n: _typed(F.lit(None).cast("string"), kind, zone)[1] for n, kind in _kinds(x).items()}
+    odd = {n: partial(_element_is_odd, n, what) for n, what in called.items() if what}
+    names = [F.when(F.exists(pairs, _of_one(test)), F.lit(f"{x.array} {n} is {called[n]}")) for n, test in odd.items()]
+    some = F.exists(pairs, lambda p: reduce(or_, [test(p) for test in odd.values()]))
+    return F.when(some, F.array_compact(F.array(*names))).otherwise(F.array().cast("array<string>"))
 
-    def odd(name: str) -> tuple[Column, str | None]:
-        what = _typed(F.lit(None).cast("string"), kinds[name], zone)[1]
 
-        def wrong(e: Column) -> Column:
-            c = e[name]
-            blank = F.trim(c).isin("", "null") if what == "no time" else F.lit(False)
-            return c.isNotNull() & ~blank & _typed(c, kinds[name], zone)[0].isNull()
+def _element_is_odd(name: str, what: str, pair: Column) -> Column:
+    return _is_odd(pair["given"][name], pair["typed"][name], what)
 
-        return F.exists(x.array, wrong), what
 
-    found = [(name, *odd(name)) for name in kinds if not isinstance(kinds[name], T.StringType)]
-    return F.transform(x.array, typed), [
-        F.when(broken, F.lit(f"{x.array} {name} is {what}")) for name, broken, what in found
-    ]
+def _of_one(test: Callable[[Column], Column]) -> Callable[[Column], Column]:
+    return lambda p: test(p)
 
 
 def _rules(resource: str) -> dict[str, Column]:
@@ -228,7 +254,7 @@ def _rules(resource: str) -> dict[str, Column]:
 def check(cleaned: DataFrame, resource: str) -> DataFrame:
     """Add the names of all broken rules; an empty array marks a valid record."""
     broken = [F.when(bad, F.lit(rule)) for rule, bad in _rules(resource).items()]
-    found = F.concat(F.col(TYPES), F.array_compact(F.array(*broken)))
+    found = F.concat(F.col(TYPES), F.array_compact(F.array(*broken)), *RESOURCES[resource].nested_rules())
     if KIND in cleaned.columns:
         found = (
             F.when(F.col(KIND) == "page", F.array(_why_unreadable(resource, BODY)))
@@ -256,13 +282,13 @@ def _sealed(df: DataFrame) -> DataFrame:
     return df.select(F.explode_outer(F.array(whole)).alias("_row")).select("_row.*")
 
 
-def accepted(judged: DataFrame, partial: str | None = None) -> DataFrame:
-    """The valid records. ``partial``, the name of their resource, adds ``_given``: the names
+def accepted(judged: DataFrame, given_of: str | None = None) -> DataFrame:
+    """The valid records. ``given_of``, the name of their resource, adds ``_given``: the names
     of the columns and arrays that each record has, a null being one. ``updated_at`` always
     counts as given where it is set at loading."""
     good = judged.filter(F.size(ERRORS) == 0)
-    if partial:
-        resource = RESOURCES[partial]
+    if given_of:
+        resource = RESOURCES[given_of]
         name = lambda k: F.coalesce(F.element_at(F.create_map(*names), k), k)
         names = [F.lit(x) for pair in (resource.renames or {"": ""}).items() for x in pair]
         given = F.transform(F.json_object_keys(BODY), name)
@@ -316,7 +342,7 @@ def split(good: DataFrame, resource: str, zone: str = DEFAULT_ZONE) -> dict[str,
     for link in spec.links:
         tables[link.table] = _split_link(good, main.key[0], link)
     for nested in spec.nested:
-        tables[nested.table] = _split_nested(good, main.key[0], nested, carried, zone)
+        tables[nested.table] = _split_nested(good, main.key[0], nested, carried)
     return tables
 
 
@@ -332,7 +358,7 @@ def _split_link(good: DataFrame, key: str, link: Link) -> DataFrame:
 
 
 def _split_nested(
-    good: DataFrame, key: str, nested: Nested, carried: list[str], zone: str
+    good: DataFrame, key: str, nested: Nested, carried: list[str]
 ) -> DataFrame:
     table = TABLES[nested.table]
     elements = F.col(nested.array)
@@ -350,8 +376,6 @@ def _split_nested(
             c = F.col("_at") + 1
         else:
             c = F.col("_e")[field.name]
-            if isinstance(field.dataType, T.TimestampNTZType):
-                c = to_zone(c, zone)
             if field.name in nested.defaults:
                 c = F.coalesce(c, F.lit(nested.defaults[field.name]))
         out.append(c.alias(field.name))

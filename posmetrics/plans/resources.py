@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -91,11 +93,19 @@ class Resource:
             rules["modifier_options price out of range"] = F.exists(
                 "modifier_options", lambda o: o["price"] < 0
             )
-        for x in self.nested:
-            for column in x.needs:
-                rules[f"{x.array} {column} missing"] = _any_missing(x, column)
         return rules
 
+    def nested_rules(self) -> list[Column]:
+        """For each array an array of the names of fields that some row of it lacks; a look
+        for any of them spares the others."""
+        out = []
+        for x in self.nested:
+            if x.needs:
+                lacks = F.exists(x.array, lambda r: r.isNotNull() & reduce(or_, [r[c].isNull() for c in x.needs]))
+                each = [F.when(_any_missing(x, c), F.lit(f"{x.array} {c} missing")) for c in x.needs]
+                out.append(F.when(lacks, F.array_compact(F.array(*each))).otherwise(F.array().cast("array<string>")))
+        return out
+
 
 def _any_missing(x: Nested, column: str) -> Column:
     # a field of a wrong type is not missing, and has been named already
