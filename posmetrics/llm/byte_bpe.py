@@ -31,7 +31,7 @@ VOCABULARY = "byte_bpe_50k.tiktoken"
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 CACHE = 500_000  # words and stretches of text a task remembers
 PIECE = 3_000_000  # characters handled at a time
-AT_ONCE = 5_000  # words of one recursive query
+AT_ONCE = 10_000  # words of one recursive query
 LONG = 256  # bytes from which a word goes to the query that keeps only its newest state
 MEMORY = "160MB"
 ENDS = ".,;:!?"
@@ -112,8 +112,7 @@ SELECT w, list(tok ORDER BY pos) AS ids FROM s WHERE tok IS NOT NULL GROUP BY w
 
 DECODE = """
 SELECT doc, array_to_string(list(v.chars ORDER BY pos), '') AS chars
-FROM (SELECT doc, unnest(ids) AS id, generate_subscripts(ids, 1) AS pos FROM encoded) t
-JOIN vocabulary v ON v.id = t.id
+FROM encoded t JOIN vocabulary v ON v.id = t.id
 GROUP BY doc
 """
 
@@ -136,6 +135,11 @@ class ByteBpe:
         self.split = regex.compile(PATTERN).findall
         self.of_byte = np.array([ranks[bytes([b])] for b in range(256)], "i4")
         self.known: dict[str, bytes] = {}
+        # bytes that some entry holds next to each other: no merge joins any others
+        self.near = np.zeros((256, 256), bool)
+        for token in ranks:
+            signs = np.frombuffer(token, np.uint8)
+            self.near[signs[:-1], signs[1:]] = True
         self.db = duckdb.connect(":memory:", config={"threads": 1, "memory_limit": MEMORY})
         merges = [
             (ranks[token[:i]], ranks[token[i:]], rank)
@@ -175,20 +179,31 @@ class ByteBpe:
 
     def words(self, words: set[str]) -> dict[str, bytes]:
         """Ids of each word."""
-        out, short, long = {}, [], []
+        out, short, long, cut = {}, {}, {}, {}
         for w in words:
             b = w.encode()
             if (rank := self.ranks.get(b)) is not None:
                 out[w] = array("i", (rank,)).tobytes()
-            else:
-                (short if len(b) < LONG else long).append((w, b))
-        for start in range(0, len(short), AT_ONCE):
-            names, some = zip(*short[start : start + AT_ONCE])
-            out.update(zip(names, self.merge(list(some), MERGE_WORDS)))
-        for w, b in long:
-            out[w] = self.merge([b], MERGE_LONG_WORDS)[0]
+                continue
+            # a long word falls apart where no entry holds both bytes
+            cut[w] = own = [b] if len(b) < LONG else self.apart(b)
+            for piece in own:
+                (short if len(piece) < LONG else long)[piece] = b""
+        pieces = list(short)
+        for start in range(0, len(pieces), AT_ONCE):
+            some = pieces[start : start + AT_ONCE]
+            short.update(zip(some, self.merge(some, MERGE_WORDS)))
+        for piece in long:
+            short[piece] = self.merge([piece], MERGE_LONG_WORDS)[0]
+        for w, own in cut.items():
+            out[w] = short[own[0]] if len(own) == 1 else b"".join(map(short.__getitem__, own))
         return out
 
+    def apart(self, word: bytes) -> list[bytes]:
+        signs = np.frombuffer(word, np.uint8)
+        cuts = [0, *(np.flatnonzero(~self.near[signs[:-1], signs[1:]]) + 1).tolist(), len(word)]
+        return [word[i:j] for i, j in zip(cuts, cuts[1:])]
+
     def parts(self, stretch: str) -> list[str]:
         """Matches of the pattern; the two usual shapes, a word of letters alone or with one
         mark after it, need no matching."""
@@ -213,7 +228,10 @@ class ByteBpe:
         return [b"".join(map(get, own)) for own in parts]
 
     def decode(self, ids: pa.ListArray) -> list[bytes]:
-        encoded = pa.table({"doc": np.arange(len(ids)), "ids": ids})  # noqa: F841
+        flat, lengths = ids.flatten(), ids.value_lengths().fill_null(0).to_numpy()
+        docs = np.repeat(np.arange(len(ids), dtype="i4"), lengths)
+        places = np.arange(len(flat), dtype="i8")
+        encoded = pa.table({"doc": docs, "id": flat, "pos": places})  # noqa: F841
         rows = self.db.execute(DECODE).fetchall()
         out = [b""] * len(ids)
         for doc, chars in rows:
