@@ -121,7 +121,8 @@ class Listing(MetricGroup):
         columns = TABLES[table].key
         if len(key) != len(columns):
             raise ValueError(f"{table} is keyed by {', '.join(columns)}")
-        return self.list_records(table, equals=dict(zip(columns, key)), limit=None)
+        found = self.tables.lookup(table, [key])
+        return found.filter(F.col("deleted_at").isNull()) if "deleted_at" in found.columns else found
 
     def is_fresh(self, now: datetime) -> DataFrame:
         """One boolean: was any receipt created within the two days before ``now``?"""

@@ -18,6 +18,8 @@ from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import date, datetime
+from functools import reduce
+from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
@@ -175,9 +177,9 @@ class Warehouse(Tables):
     def lookup(self, table: str, keys: list[tuple]) -> DataFrame:
         """The rows with these primary keys, read from the partitions they are in alone; the
         order of rows within files lets the scan skip most of their row groups."""
-        spec, version = TABLES[table], self.now()
-        resource = resource_of(table)
-        found = spec.key[0] if len(spec.key) == 1 else None
+        if resource_of(table) != table:  # rows of a parent are not found by a key of their own
+            return super().lookup(table, keys)
+        spec, version, resource = TABLES[table], self.now(), table
         owners = self.spark.createDataFrame([(k[0],) for k in keys], T.StructType([spec.schema[spec.bucket_key]]))
         if spec.by_month:
             places = self._indexed(version, resource, owners.toDF(*_key(resource)))
@@ -185,11 +187,8 @@ class Warehouse(Tables):
         else:
             parts = _values(owners.select(self._bucket(version, resource, spec.bucket_key).alias("p")), "p")
         rows = self._live(version, table, {_folder(p) for p in parts})
-        if found:
-            rows = rows.filter(F.col(found).isin([k[0] for k in keys]))
-        else:
-            same = [F.struct(*(F.lit(v) for v in k)) for k in keys]
-            rows = rows.filter(F.col(spec.key[0]).isin([k[0] for k in keys]) & F.struct(*spec.key).isin(same))
+        same = [reduce(and_, [F.col(c) == v for c, v in zip(spec.key, key)]) for key in keys]
+        rows = rows.filter(reduce(or_, same))
         return rows.select(*spec.columns)
 
     # creating

@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_, or_
+
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from posmetrics.functions.period import ALWAYS, DateWindow
+from posmetrics.sources.schemas import TABLES
 
 
 class Tables:
@@ -18,6 +23,12 @@ class Tables:
     def table(self, name: str) -> DataFrame:
         raise NotImplementedError
 
+    def lookup(self, name: str, keys: list[tuple]) -> DataFrame:
+        """The rows with these primary keys; a few keys, which become part of the plan."""
+        columns = TABLES[name].key
+        same = [reduce(and_, [F.col(c) == v for c, v in zip(columns, key)]) for key in keys]
+        return self.table(name).filter(reduce(or_, same))
+
     def receipts(self, window: DateWindow = ALWAYS) -> DataFrame:
         return window.restrict(self.table("receipts"), "receipt_date")
 
