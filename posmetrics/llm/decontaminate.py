@@ -281,12 +281,14 @@ def slices(benchmark: DataFrame, id_col: str, text_col: str, characters: int) ->
     rows = benchmark.selectExpr(f"cast(`{id_col}` as long) as i", f"`{text_col}` as t").where(
         "i is not null and t is not null"
     )
+    held = 0
     for row in rows.toLocalIterator():
         ids.append(row["i"])
         texts.append(row["t"])
-        if sum(map(len, texts)) >= characters:
+        held += len(row["t"])
+        if held >= characters:
             yield Benchmark(ids, texts)
-            ids, texts = [], []
+            ids, texts, held = [], [], 0
     if ids:
         yield Benchmark(ids, texts)
 

@@ -6,7 +6,8 @@ whose codeword has the least logistic loss under all bits; the losses give a sco
 text whose two nearest codewords are close together is flagged as ambiguous.
 
 The classifiers are fitted on a bounded sample: at most ``per_language`` labelled rows of
-each language, the first in the order of a hash of their text. Everything else covers
+each language, the first in the order of a hash of their text; no language is left out, so
+the driver's memory grows with their number. Everything else covers
 whole texts and all rows, in one pass without a shuffle.
 
 Defined cases: a text that is null, empty or without a letter is ``und`` with score 0; rows
@@ -32,7 +33,6 @@ from posmetrics.llm.common import pieces, table, texts_of, tuned
 
 UNDETERMINED = "und"
 PER_LANGUAGE = 200  # training rows of each language at most
-LANGUAGES = 512  # languages at most, the most frequent in the training rows
 FEATURES = 2**13
 PIECE = 500_000
 SPAN = 16_384  # bytes of a training text that make one example
@@ -127,7 +127,7 @@ def fit(texts: list[str], labels: list[str]) -> Model:
         for at in range(0, len(text), SPAN):
             part = text[at : at + SPAN]
             # short and long stretches, as texts to be told come in all lengths
-            for piece in {part, part[:100]}:
+            for piece in (part, part[:100]) if len(part) > 100 else (part,):
                 if _LETTER.search(piece):
                     spans.append(piece)
                     kind.append(languages.index(label))
@@ -157,17 +157,15 @@ def fit(texts: list[str], labels: list[str]) -> Model:
 def train(
     docs: DataFrame, text_col: str = "text", lang_col: str = "lang", per_language: int = PER_LANGUAGE
 ) -> Model:
-    """Fit on at most ``per_language`` rows of each language of ``docs``; both are read by
-    the driver, so their product is bounded by ``LANGUAGES``."""
+    """Fit on at most ``per_language`` rows of each language of ``docs``, which the driver
+    reads; no language is left out."""
     rows = docs.select(F.col(text_col).alias("text"), F.col(lang_col).alias("lang")).where(
         "lang is not null and text is not null"
     )
-    usual = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES)
     sample = (
         rows.withColumn("_h", F.xxhash64("text"))
         .withColumn("_n", F.row_number().over(Window.partitionBy("lang").orderBy("_h", "text")))
         .where(F.col("_n") <= per_language)
-        .join(usual.select("lang"), "lang", "left_semi")
         .orderBy("lang", "_n")
         .select("text", "lang")
         .collect()
@@ -187,7 +185,7 @@ def identify(
     kept = docs.drop(*(n for n in names if n != text_col))
     kinds = (StringType(), DoubleType(), BooleanType())
     schema = StructType([*kept.schema, *map(StructField, names, kinds)])
-    held = docs.sparkSession.sparkContext.broadcast(model)  # bounded by FEATURES and LANGUAGES
+    held = docs.sparkSession.sparkContext.broadcast(model)  # FEATURES numbers for each bit of the codewords
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import os
 import random
 import re
 from collections import Counter
@@ -50,6 +51,23 @@ def test_language_of_odd_texts(spark):
     assert alone.predict(["un", "3"])[0] == ["en", "und"]
 
 
+def test_fit_does_not_depend_on_hash_seeds():
+    """Examples come in an order that strings' hashes, seeded anew in each process, leave alone."""
+    import subprocess
+    import sys
+
+    code = (
+        "from posmetrics.llm.language import fit; import zlib\n"
+        "m = fit(['the cat sat on the mat ' * 9, 'le chat est sur le tapis ' * 9, 'der Hund ' * 30], ['en', 'fr', 'de'])\n"
+        "print(zlib.crc32(m.weight.tobytes()))"
+    )
+    seen = {
+        subprocess.run([sys.executable, "-c", code], env={**os.environ, "PYTHONHASHSEED": seed}, capture_output=True, text=True, check=True).stdout
+        for seed in ("1", "2", "3")
+    }
+    assert len(seen) == 1 and seen != {""}
+
+
 @pytest.mark.parametrize("n", [2, 3, 4, 5, 9, 40])
 def test_codewords_differ(n):
     code = language.codewords(n)
