@@ -41,12 +41,14 @@ B_FILE = "piece_bpe_32k.model"
 SPACE = "▁"  # how B writes a space
 BUNDLE = 1_000_000  # bytes of text that are aligned together
 KNOWN = 300_000  # stretches that a task remembers, which only saves time
+TOGETHER = 2_000  # new stretches that are tokenized end to end
 SHORT = 64  # signs of a stretch worth remembering
 WORK = 1 << 16  # token ends of one piece
 # cuts before a space or line break that follows no white space; the first finds the same
 # stretches where a text has no other white space
 _STRETCH = re.compile(r"[ \n]*[^ \n]+|[ \n]+")
 _CUT = re.compile(r"(?<=[^\s\x85\ufeff])(?=[ \n])")
+_LIKE_SPACE = re.compile(r"[\s\x85\ufeff]")
 _OTHER_SPACE = re.compile(r"[^\S \n]|[\x85\ufeff]")
 _tokenizers: dict[tuple[str, str], Tokenizers] = {}
 
@@ -103,20 +105,55 @@ class Tokenizers:
         inner = any("\n" in p or SPACE in p.lstrip(SPACE) for p in pieces)
         return split.get("type") == "ByteLevel" and split.get("use_regex", True) and not inner
 
-    def _learn(self, stretches: list[str]) -> dict[str, tuple[bytes, bytes]]:
+    def _learn(self, stretches: set[str]) -> dict[str, tuple[bytes, bytes]]:
         """Ids of A and B of stretches, as little-endian 32-bit integers."""
-        a = [e.ids for e in self.a.encode_batch_fast(stretches, add_special_tokens=False)]
-        # B puts a space before what it is given: a stretch's own, or one to be left out
-        b = self.b.encode([s[1:] if s[0] == " " else s for s in stretches], num_threads=1)
+        # end to end, stretches that end in no white space come out as they do alone
+        joined = [s for s in stretches if self.cuts and not _LIKE_SPACE.match(s[-1])]
+        out, single = {}, [s for s in stretches if not self.cuts or _LIKE_SPACE.match(s[-1])]
+        for start in range(0, len(joined), TOGETHER):
+            some = joined[start : start + TOGETHER]
+            found = self._learn_joined(some)
+            out.update(found)
+            if not found:
+                single += some
+        out.update(self._learn_single(single))
+        return out
+
+    def _both(self, texts: list[str]) -> tuple[list[list[int]], list[list[int]]]:
+        """Ids of A and B of texts that begin with a space or a line break."""
+        a = [e.ids for e in self.a.encode_batch_fast(texts, add_special_tokens=False)]
+        # B puts a space before what it is given: a text's own, or one to be left out
+        b = self.b.encode([t[1:] if t[0] == " " else t for t in texts], num_threads=1)
+        for i, t in enumerate(texts):
+            if t == " ":  # nothing is left of it, and B puts no space before nothing
+                b[i] = [self.b.piece_to_id(SPACE)]
+            elif t[0] != " ":
+                b[i] = b[i][1:]
+        return a, b
+
+    def _learn_joined(self, stretches: list[str]) -> dict[str, tuple[bytes, bytes]]:
+        """All at once, cut where the stretches end; nothing if some token crosses an end or
+        the tokens spell something else."""
+        whole = "".join(stretches)
+        data, ends = whole.encode(), np.cumsum([len(s.encode()) for s in stretches])
+        sides = []
+        for ids, entries, size in zip(self._both([whole]), (self.a_bytes, self.b_bytes), (self.a_size, self.b_size)):
+            if self._spelled(entries, ids[0]) != data:
+                return {}
+            own = np.array(ids[0], "<i4")
+            stops = np.cumsum(size[own])
+            cut = np.searchsorted(stops, ends)
+            if not (stops[cut] == ends).all():
+                return {}
+            raw, at = own.tobytes(), [0, *((cut + 1) * 4).tolist()]
+            sides.append([raw[i:j] for i, j in zip(at, at[1:])])
+        return dict(zip(stretches, zip(*sides)))
+
+    def _learn_single(self, stretches: list[str]) -> dict[str, tuple[bytes, bytes]]:
         out = {}
-        for s, x, y in zip(stretches, a, b):
-            if s == " ":  # nothing is left of it, and B puts no space before nothing
-                y = [self.b.piece_to_id(SPACE)]
-            elif s[0] != " ":
-                y = y[1:]
+        for s, x, y in zip(stretches, *self._both(stretches)):
             out[s] = (np.array(x, "<i4").tobytes(), np.array(y, "<i4").tobytes())
-            whole = s.encode()
-            if not (self._spelled(self.a_bytes, x) == whole == self._spelled(self.b_bytes, y)):
+            if not (self._spelled(self.a_bytes, x) == s.encode() == self._spelled(self.b_bytes, y)):
                 self.odd.add(s)
         return out
 
@@ -139,7 +176,7 @@ class Tokenizers:
         if len(self.known) + len(new) > KNOWN:
             self.known, self.odd = {}, set()
             new = needed
-        self.known.update(self._learn(list(new)))
+        self.known.update(self._learn(new))
         out = []
         for text, own in zip(texts, cut):
             parts = list(map(self.known.__getitem__, own))
