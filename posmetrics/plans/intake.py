@@ -50,6 +50,15 @@ def _exploded(pages: DataFrame, resource: str, column: str) -> DataFrame:
     return _with_lists(rows, RESOURCES[resource])
 
 
+def _named(cases: list[tuple[Column, str]]) -> Column:
+    """The names whose condition holds; a look for any of them spares the others."""
+    none = F.array().cast("array<string>")
+    if not cases:
+        return none
+    names = F.array_compact(F.array(*(F.when(holds, F.lit(name)) for holds, name in cases)))
+    return F.when(reduce(or_, [holds for holds, _ in cases]), names).otherwise(none)
+
+
 def _with_lists(rows: DataFrame, spec: Resource) -> DataFrame:
     """Arrays in place of their texts: links as texts, nested rows with all fields as text.
 
@@ -70,14 +79,13 @@ def _with_lists(rows: DataFrame, spec: Resource) -> DataFrame:
     for a in arrays:
         each, x = F.col(f"_list_{a}"), nested.get(a)
         given = F.col(a).isNotNull() & (F.col(a) != "null")
-        wrong.append(F.when(given & ~is_list[a], F.lit(f"{a} is no list")))
+        wrong.append((given & ~is_list[a], f"{a} is no list"))
         if x is not None:
             each = _objects(each, x) if x.bare else each
             odd = is_list[a] & (each.isNull() | F.exists(each, lambda e: e.isNull()))
-            wrong.append(F.when(odd, F.lit(f"{a} holds what is no object")))
+            wrong.append((odd, f"{a} holds what is no object"))
         out[a] = each
-    named = F.array_compact(F.array(*wrong)) if wrong else F.array().cast("array<string>")
-    return rows.withColumns({**out, TYPES: named}).drop(*parsed)
+    return rows.withColumns({**out, TYPES: _named(wrong)}).drop(*parsed)
 
 
 def _objects(texts: Column, x: Nested) -> Column:
@@ -164,7 +172,7 @@ def clean(
         if what:
             c = F.col(f"_typed_{name}")
             odd = _is_odd(given[name], c, what)
-            wrong.append(F.when(odd, F.lit(f"{name} is {what}")))
+            wrong.append((odd, f"{name} is {what}"))
         if isinstance(field.dataType, T.TimestampNTZType):
             if name in spec.stamped:
                 c = F.when(odd, c).otherwise(F.coalesce(c, loaded))
@@ -189,7 +197,7 @@ def clean(
         arrays.append(F.transform(pairs, lambda p: p["typed"]).alias(x.array))
         nested.append(_odd_elements(x, pairs, zone))
     kept = [x for x in (KIND, BODY) if x in raw.columns]
-    types = F.concat(F.array_compact(F.array(*wrong)), *nested)
+    types = F.concat(_named(wrong), *nested)
     if TYPES in raw.columns:
         types = F.concat(F.col(TYPES), types)
     return raw.select(*out, *arrays, types.alias(TYPES), *kept)
@@ -253,8 +261,8 @@ def _rules(resource: str) -> dict[str, Column]:
 
 def check(cleaned: DataFrame, resource: str) -> DataFrame:
     """Add the names of all broken rules; an empty array marks a valid record."""
-    broken = [F.when(bad, F.lit(rule)) for rule, bad in _rules(resource).items()]
-    found = F.concat(F.col(TYPES), F.array_compact(F.array(*broken)), *RESOURCES[resource].nested_rules())
+    broken = _named([(bad, rule) for rule, bad in _rules(resource).items()])
+    found = F.concat(F.col(TYPES), broken, *RESOURCES[resource].nested_rules())
     if KIND in cleaned.columns:
         found = (
             F.when(F.col(KIND) == "page", F.array(_why_unreadable(resource, BODY)))
@@ -324,10 +332,14 @@ def prepared(
     return judged(pages, resource, now, zone, column).filter(F.col(KIND) == "record")
 
 
-def split(good: DataFrame, resource: str, zone: str = DEFAULT_ZONE) -> dict[str, DataFrame]:
+def split(
+    good: DataFrame, resource: str, zone: str = DEFAULT_ZONE, unique: bool = False
+) -> dict[str, DataFrame]:
     """Main table first, then its junction and child tables.
 
-    Tables of receipts also carry the month of the receipt they are stored by.
+    Tables of receipts also carry the month of the receipt they are stored by. ``unique``:
+    of nested rows of one record with the same key, one stays: the least by a hash of its
+    content, so that the choice does not depend on the batch; rows without an id all stay.
     """
     spec, main = RESOURCES[resource], TABLES[resource]
     carried = [MONTH] if MONTH in good.columns else []
@@ -342,7 +354,7 @@ def split(good: DataFrame, resource: str, zone: str = DEFAULT_ZONE) -> dict[str,
     for link in spec.links:
         tables[link.table] = _split_link(good, main.key[0], link)
     for nested in spec.nested:
-        tables[nested.table] = _split_nested(good, main.key[0], nested, carried)
+        tables[nested.table] = _split_nested(good, main.key[0], nested, carried, unique)
     return tables
 
 
@@ -358,25 +370,46 @@ def _split_link(good: DataFrame, key: str, link: Link) -> DataFrame:
 
 
 def _split_nested(
-    good: DataFrame, key: str, nested: Nested, carried: list[str]
+    good: DataFrame, key: str, nested: Nested, carried: list[str], unique: bool
 ) -> DataFrame:
     table = TABLES[nested.table]
+
+    def columns(e: Column, owner: Column, at: Column | None = None) -> list[Column]:
+        out = []
+        for field in table.schema.fields:
+            if field.name == table.owner:
+                c = owner
+            elif nested.numbered and field.name == "position":
+                c = at + 1
+            else:
+                c = e[field.name]
+                if field.name in nested.defaults:
+                    c = F.coalesce(c, F.lit(nested.defaults[field.name]))
+            out.append(c.alias(field.name))
+        return out
+
     elements = F.col(nested.array)
-    if nested.numbered:
-        rows = good.select(
-            F.col(key).alias(table.owner), *carried, F.posexplode(elements).alias("_at", "_e")
-        )
-    else:
-        rows = good.select(F.col(key).alias(table.owner), *carried, F.explode(elements).alias("_e"))
-    out = []
-    for field in table.schema.fields:
-        if field.name == table.owner:
-            c = F.col(table.owner)
-        elif nested.numbered and field.name == "position":
-            c = F.col("_at") + 1
-        else:
-            c = F.col("_e")[field.name]
-            if field.name in nested.defaults:
-                c = F.coalesce(c, F.lit(nested.defaults[field.name]))
-        out.append(c.alias(field.name))
-    return rows.select(*out, *carried)
+    if unique and table.may_repeat:
+        hashed = lambda e: F.xxhash64(*columns(e, F.col(key)))
+        elements = _first_of_each(elements, table.key[-1], hashed)
+    owner = F.col(key).alias(table.owner)
+    each = F.posexplode(elements).alias("_at", "_e") if nested.numbered else F.explode(elements).alias("_e")
+    rows = good.select(owner, *carried, each)
+    return rows.select(*columns(F.col("_e"), F.col(table.owner), F.col("_at")), *carried)
+
+
+def _first_of_each(elements: Column, name: str, hashed: Callable[[Column], Column]) -> Column:
+    """One element of each id, that of the least hash, and all without one; a look for any
+    repetition spares the lists that have none."""
+    ids = F.array_compact(F.transform(elements, lambda e: e[name]))
+    told = F.transform(
+        elements, lambda e, i: F.struct(e[name].alias("id"), hashed(e).alias("hash"), i.alias("at"), e.alias("e"))
+    )
+
+    def firsts(of: Column) -> Column:
+        return F.filter(of, lambda t, i: t["id"].isNull() | (i == 0) | ~F.get(of, i - 1)["id"].eqNullSafe(t["id"]))
+
+    # the one element of an array names the sorted list, which is thus sorted once
+    kept = F.get(F.transform(F.array(F.sort_array(told)), firsts), F.lit(0))
+    repeats = F.size(F.array_distinct(ids)) < F.size(ids)
+    return F.when(repeats, F.transform(kept, lambda t: t["e"])).otherwise(elements)
