@@ -63,8 +63,10 @@ def quarantine(spark, sf_dir):
 
 
 def _land(spark, sf_dir, landing, resources, mode="error"):
+    """Pages as files of bounded size: a packed file is read by one task."""
     for r in resources:
-        feed.pages(spark, sf_dir, r).write.mode(mode).text(landing.path(r))
+        pages = feed.pages(spark, sf_dir, r).write.mode(mode)
+        pages.option("compression", "gzip").option("maxRecordsPerFile", 250_000).text(landing.path(r))
 
 
 def _changed_orders(spark, sf_dir):
