@@ -15,7 +15,7 @@ from __future__ import annotations
 
 import base64
 import re
-from array import array
+import struct
 from collections.abc import Iterator
 
 import numpy as np
@@ -133,8 +133,10 @@ class ByteBpe:
 
         self.ranks = ranks = read_ranks(path)
         self.split = regex.compile(PATTERN).findall
+        self.packed = struct.Struct("<i").pack
         self.of_byte = np.array([ranks[bytes([b])] for b in range(256)], "i4")
         self.known: dict[str, bytes] = {}
+        self.merged: dict[str, bytes] = {}  # words that took a query, kept when ``known`` is full
         # bytes that some entry holds next to each other: no merge joins any others
         self.near = np.zeros((256, 256), bool)
         for token in ranks:
@@ -179,24 +181,37 @@ class ByteBpe:
 
     def words(self, words: set[str]) -> dict[str, bytes]:
         """Ids of each word."""
-        out, short, long, cut = {}, {}, {}, {}
+        out, plain, cut = {}, {}, {}
+        ranks, packed, merged = self.ranks.get, self.packed, self.merged.get
         for w in words:
             b = w.encode()
-            if (rank := self.ranks.get(b)) is not None:
-                out[w] = array("i", (rank,)).tobytes()
-                continue
-            # a long word falls apart where no entry holds both bytes
-            cut[w] = own = [b] if len(b) < LONG else self.apart(b)
-            for piece in own:
-                (short if len(piece) < LONG else long)[piece] = b""
-        pieces = list(short)
-        for start in range(0, len(pieces), AT_ONCE):
-            some = pieces[start : start + AT_ONCE]
-            short.update(zip(some, self.merge(some, MERGE_WORDS)))
-        for piece in long:
-            short[piece] = self.merge([piece], MERGE_LONG_WORDS)[0]
-        for w, own in cut.items():
-            out[w] = short[own[0]] if len(own) == 1 else b"".join(map(short.__getitem__, own))
+            if (rank := ranks(b)) is not None:
+                out[w] = packed(rank)
+            elif (ids := merged(w)) is not None:
+                out[w] = ids
+            elif len(b) < LONG:
+                plain[w] = b
+            else:  # a long word falls apart where no entry holds both bytes
+                cut[w] = self.apart(b)
+        names, pieces = list(plain), list(plain.values())
+        for start in range(0, len(names), AT_ONCE):
+            end = start + AT_ONCE
+            made = dict(zip(names[start:end], self.merge(pieces[start:end], MERGE_WORDS)))
+            if len(self.merged) + len(made) > CACHE:
+                self.merged.clear()
+            self.merged.update(made)
+            out.update(made)
+        if cut:
+            done: dict[bytes, bytes] = dict.fromkeys(p for own in cut.values() for p in own)
+            short = [p for p in done if len(p) < LONG]
+            for start in range(0, len(short), AT_ONCE):
+                some = short[start : start + AT_ONCE]
+                done.update(zip(some, self.merge(some, MERGE_WORDS)))
+            for piece in done:
+                if len(piece) >= LONG:
+                    done[piece] = self.merge([piece], MERGE_LONG_WORDS)[0]
+            for w, own in cut.items():
+                out[w] = b"".join(map(done.__getitem__, own))
         return out
 
     def apart(self, word: bytes) -> list[bytes]:
@@ -230,7 +245,7 @@ class ByteBpe:
     def decode(self, ids: pa.ListArray) -> list[bytes]:
         flat, lengths = ids.flatten(), ids.value_lengths().fill_null(0).to_numpy()
         docs = np.repeat(np.arange(len(ids), dtype="i4"), lengths)
-        places = np.arange(len(flat), dtype="i8")
+        places = np.arange(len(flat), dtype="i4")  # fewer than 2^31 ids: a batch is that small
         encoded = pa.table({"doc": docs, "id": flat, "pos": places})  # noqa: F841
         rows = self.db.execute(DECODE).fetchall()
         out = [b""] * len(ids)
@@ -308,6 +323,7 @@ def _mapped(docs: DataFrame, path: str, text_col: str, added: list[tuple[str, Da
                 yield pa.RecordBatch.from_arrays([*part.columns, *new], [*part.schema.names, *names])
         # the process serves other tasks next, which need the memory
         own.known.clear()
+        own.merged.clear()
 
     return kept.mapInArrow(run, schema)
 

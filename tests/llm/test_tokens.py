@@ -137,3 +137,17 @@ def test_long_and_short_words_merge_alike():
     words = [w.encode() for w in ("thererere", "aaaaaaa", "ééé", "abcabcabc", "zzzzyzz", "ingingin")]
     long = [engine.merge([w], byte_bpe.MERGE_LONG_WORDS)[0] for w in words]
     assert engine.merge(words, byte_bpe.MERGE_WORDS) == long
+
+
+def test_merged_words_outlive_a_full_memory(monkeypatch):
+    """Words that took a query are not merged again when the memory of stretches is full."""
+    engine = byte_bpe.ByteBpe(vocabulary_path(byte_bpe.VOCABULARY))
+    monkeypatch.setattr(byte_bpe, "CACHE", 12)
+    asked, merge = [], engine.merge
+    monkeypatch.setattr(engine, "merge", lambda words, query: asked.extend(words) or merge(words, query))
+    first = engine.encode(["zqxjkv wvvqqz"])
+    for i in range(6):
+        engine.encode([f"the a{i}! of b{i}? in c{i}; to d{i}:"])
+    assert engine.encode(["zqxjkv wvvqqz"]) == first
+    assert asked.count(b"zqxjkv") == 1
+    assert len(engine.merged) <= 12
