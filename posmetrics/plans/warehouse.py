@@ -38,6 +38,7 @@ INDEX_BUCKETS = 16  # to begin with
 BUCKET_BYTES = 128 << 20  # of an index, beyond which compaction makes more buckets
 AT_ONCE = 4  # tables of a load that are written at the same time
 DELTAS = 8  # loads a partition may hold before it is compacted
+FEW = 100_000  # records of a batch that are not worth jobs of their own to look for repeated keys
 TRIES = 20  # of a load whose resource others keep changing
 _STORED_IN = "_stored_in"
 
@@ -259,15 +260,17 @@ class Warehouse(Tables):
             counts = [
                 F.count(F.when(bad & (F.col(intake.KIND) == kind), 1)).alias(kind) for kind in ("record", "page")
             ]
+            counts.append(F.count(F.when(~bad, 1)).alias("good"))
             _stage_rows(judged.observe(seen, *counts), staging)
             counted = _observed(seen)
+            few = counted.pop("good", 0) < FEW
             judged = self.spark.read.schema(judged.schema).parquet(staging)
             place = f"{self.root}/_rejected/{resource}/{load}"
             if any(counted.values()) or self.files.exists(place):
                 refused = intake.refused(judged).withColumn("load", F.lit(load))
                 refused.select("load", "kind", "body", "reasons").write.mode("overwrite").parquet(place)
             good = keep(intake.accepted(judged, resource if partial else None))
-            count, newest = self._upsert_staged(resource, good, zone)
+            count, newest = self._upsert_staged(resource, good, zone, few)
         finally:
             self.files.delete(staging)
         return Merged(count, counted.get("record", 0), counted.get("page", 0), newest)
@@ -298,9 +301,11 @@ class Warehouse(Tables):
         finally:
             self.files.delete(staging)
 
-    def _upsert_staged(self, resource: str, records: DataFrame, zone: str) -> tuple[int, datetime | None]:
+    def _upsert_staged(
+        self, resource: str, records: DataFrame, zone: str, few: bool = False
+    ) -> tuple[int, datetime | None]:
         """``upsert`` of records that are cheap to read again."""
-        repeats = _has_repeats(records, _key(resource))
+        repeats = few or _has_repeats(records, _key(resource))
         for _ in range(TRIES):
             base = self.versions.latest()
             staging = self._staging()
