@@ -125,7 +125,7 @@ class Warehouse(Tables):
     def _live(self, version: Version, table: str, parts: set[str] | None = None) -> DataFrame:
         """The rows of a table that count, with ``load`` and the partition column."""
         spec = TABLES[table]
-        kind = T.DateType() if spec.by_month else T.IntegerType()
+        kind = _part_type(spec)
         if table in version.schemas:
             checked(table, version.schemas[table], spec.schema)
         pieces = version.of(table, parts)
@@ -146,7 +146,7 @@ class Warehouse(Tables):
 
     def _keys(self, resource: str, pieces: Iterable[Piece]) -> DataFrame:
         spec = TABLES[resource]
-        kind = T.DateType() if spec.by_month else T.IntegerType()
+        kind = _part_type(spec)
         schema = T.StructType([spec.schema[k] for k in spec.key]).add(spec.partition, kind).add(LOAD, T.StringType())
         return self._pieces(replaced(resource), pieces, schema, spec.partition)
 
@@ -337,7 +337,7 @@ class Warehouse(Tables):
             F.count("_known").alias("known"),
         ]
         # where no key repeats and none is stored, the records are what would be staged
-        if repeats or base.of(index(resource) if spec.by_month else resource):
+        if repeats or _holds(base, spec):
             _stage_rows(staged.observe(seen, *counts), staging)
             told = _observed(seen)
             staged = self.spark.read.schema(staged.schema).parquet(staging)
@@ -448,14 +448,18 @@ class Warehouse(Tables):
         latest = records
         if repeats:
             latest = records.withColumn("_n", F.row_number().over(own)).filter("_n = 1").drop("_n")
-        known = self._known(base, spec, records)
-        joined = latest.join(known, list(spec.key), "left")
-        if versioned:
-            joined = joined.filter(
-                F.col("_stored_version").isNull() | (F.col("updated_at") >= F.col("_stored_version"))
-            ).drop("_stored_version")
-        if intake.GIVEN in records.columns:
-            joined = self._filled(base, spec, joined)
+        if _holds(base, spec):
+            known = self._known(base, spec, records)
+            joined = latest.join(known, list(spec.key), "left")
+            if versioned:
+                joined = joined.filter(
+                    F.col("_stored_version").isNull() | (F.col("updated_at") >= F.col("_stored_version"))
+                ).drop("_stored_version")
+            if intake.GIVEN in records.columns:
+                joined = self._filled(base, spec, joined)
+        else:  # no record is known: a join with nothing would still shuffle and sort all of them
+            none = F.lit(None)
+            joined = latest.withColumns({"_known": none.cast("boolean"), _STORED_IN: none.cast(_part_type(spec))})
         if spec.by_month:
             return joined.withColumn(MONTH, intake.month_of("receipt_date"))
         return joined.withColumn(BUCKET, self._bucket(base, spec.name, spec.bucket_key))
@@ -604,6 +608,15 @@ def _key(resource: str) -> tuple[str, ...]:
     return TABLES[resource].key
 
 
+def _holds(version: Version, spec: TableSpec) -> bool:
+    """Whether any record of a resource is stored."""
+    return bool(version.of(index(spec.name) if spec.by_month else spec.name))
+
+
+def _part_type(spec: TableSpec) -> T.DataType:
+    return T.DateType() if spec.by_month else T.IntegerType()
+
+
 def _observed(seen: Observation) -> dict:
     return {k: v for k, v in seen.get.items() if v is not None}
 

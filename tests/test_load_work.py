@@ -44,6 +44,24 @@ def test_records_of_an_upsert_are_worked_out_once(spark):
         assert seen.value == 5
 
 
+def test_a_first_load_joins_with_nothing(spark):
+    """What is stored is met with a join, which shuffles all records; where nothing is, no join."""
+    warehouse = Warehouse(spark, scratch_dir(spark, "first"))
+    warehouse.create()
+    records, spec = good(spark, receipt("R1"), receipt("R2")), TABLES["receipts"]
+
+    def staged():
+        return warehouse._stage(warehouse.now(), spec, records, repeats=False)
+
+    first = staged()
+    assert count_of(first._jdf.queryExecution().optimizedPlan(), "Join") == 0
+    assert [(r._known, r._stored_in) for r in first.collect()] == [(None, None)] * 2
+    warehouse.upsert("receipts", good(spark, receipt("R1")))
+    later = staged()
+    assert sorted(later.columns) == sorted(first.columns)
+    assert {r.receipt_number: r._known for r in later.collect()} == {"R1": True, "R2": None}
+
+
 def test_repeated_keys_are_settled_in_a_first_load(spark):
     warehouse = Warehouse(spark, scratch_dir(spark, "twice"))
     warehouse.create()
